@@ -264,3 +264,235 @@ def q_balance_pivot(spark, sf_dir):
     a = ME.class_metrics(s, 0.5).select("model", F.lit("without").alias("state"), "recall")
     b = ME._rates(ME.confusion(s2, "p")).select("model", F.lit("with").alias("state"), "recall")
     return round6(ME.balance_pivot(a.unionByName(b)))
+
+
+# --------------------------------------------------------------- forecasting
+from weekpanel.operators import eda as _eda  # noqa: E402
+from weekpanel.operators import forecast as FC  # noqa: E402
+from weekpanel.plans.catalog import SERIES_SQL  # noqa: E402
+
+
+def real_series(spark, sf_dir):
+    return _eda.weekly_series(real_only(master(spark, sf_dir)))
+
+
+def _ma_sql(windows) -> str:
+    wl = ", ".join(str(int(w)) for w in windows)
+    return SERIES_SQL.rstrip() + f""",
+pos AS (SELECT *, CAST(row_number() OVER (PARTITION BY level, series_key ORDER BY week_start) - 1 AS INTEGER) AS t,
+               CAST(count(*) OVER (PARTITION BY level, series_key) AS INTEGER) AS n FROM series),
+st AS (SELECT level, series_key, max(n) AS n, max(cases) AS mx FROM pos GROUP BY 1, 2),
+ok AS (SELECT s.level, s.series_key, w.eval_window FROM st s, (SELECT CAST(unnest([{wl}]) AS INTEGER) AS eval_window) w
+       WHERE n > eval_window + 8 AND mx > 0),
+j AS (SELECT p.*, ok.eval_window FROM pos p JOIN ok ON p.level = ok.level AND p.series_key = ok.series_key),
+ma AS (SELECT level, series_key, eval_window, avg(cases) AS pred FROM j
+       WHERE t >= n - eval_window - 4 AND t < n - eval_window GROUP BY 1, 2, 3),
+test AS (SELECT level, series_key, eval_window, t, cases AS actual FROM j WHERE t >= n - eval_window),
+preds AS (SELECT test.*, ma.pred FROM test JOIN ma ON test.level = ma.level AND test.series_key = ma.series_key
+          AND test.eval_window = ma.eval_window),
+errs AS (SELECT level, series_key, eval_window,
+                avg(CASE WHEN actual <> 0 THEN abs((actual - pred) / actual) END) * 100.0 AS mape,
+                sqrt(avg((actual - pred) * (actual - pred))) AS rmse FROM preds GROUP BY 1, 2, 3)
+"""
+
+
+@register("ma_forecast", _ma_sql([13]) + "SELECT level, series_key, eval_window, round(pred, 6) AS pred FROM ma")
+def q_ma_forecast(spark, sf_dir):
+    p = FC.ma_backtest(real_series(spark, sf_dir), [13])
+    return round6(p.select(*FC.SERIES, "eval_window", "pred").distinct())
+
+
+@register("backtest_ma", _ma_sql([13]) + "SELECT level, series_key, eval_window, t, round(actual, 6) AS actual, round(pred, 6) AS pred FROM preds")
+def q_backtest_ma(spark, sf_dir):
+    p = FC.ma_backtest(real_series(spark, sf_dir), [13])
+    return round6(p.select(*FC.SERIES, "eval_window", "t", "actual", "pred"))
+
+
+@register("forecast_errors", _ma_sql([13]) + "SELECT level, series_key, eval_window, round(mape, 6) AS mape, round(rmse, 6) AS rmse FROM errs")
+def q_forecast_errors(spark, sf_dir):
+    e = FC.errors(FC.ma_backtest(real_series(spark, sf_dir), [13]))
+    return round6(e.select(*FC.SERIES, "eval_window", "mape", "rmse"))
+
+
+@register("robustness_ma", _ma_sql([8, 13, 26]) + "SELECT level, series_key, eval_window, round(mape, 6) AS mape, round(rmse, 6) AS rmse FROM errs")
+def q_robustness_ma(spark, sf_dir):
+    e = FC.errors(FC.ma_backtest(real_series(spark, sf_dir), [8, 13, 26]))
+    return round6(e.select(*FC.SERIES, "eval_window", "mape", "rmse"))
+
+
+@register("future_weeks", SERIES_SQL.rstrip() + """,
+last AS (SELECT level, series_key, max(week_start) AS d FROM series GROUP BY 1, 2),
+yw AS (SELECT level, series_key, CAST(year(d) AS INTEGER) AS y, CAST((dayofyear(d) - 1) // 7 + 1 AS INTEGER) AS w FROM last),
+st AS (SELECT level, series_key, y, least(w, 52) - 1 + s AS w0, s AS step FROM yw, (SELECT CAST(unnest([1, 2, 3, 4]) AS INTEGER) AS s))
+SELECT level, series_key, step,
+       CAST(make_date(CAST(y + w0 // 52 AS INTEGER), 1, 1) + CAST(7 * (w0 % 52) AS INTEGER) AS DATE) AS week_start
+FROM st""")
+def q_future_weeks(spark, sf_dir):
+    return FC.future_weeks(real_series(spark, sf_dir), 4)
+
+
+@register("hw_forecast")
+def q_hw_forecast(spark, sf_dir):
+    return FC.forecast_future(real_series(spark, sf_dir), 4)
+
+
+@register("backtest")
+def q_backtest(spark, sf_dir):
+    return FC.backtest(real_series(spark, sf_dir), [13])
+
+
+@register("robustness")
+def q_robustness(spark, sf_dir):
+    return FC.backtest(real_series(spark, sf_dir), [8, 13, 26])
+
+
+@register("forecast_display")
+def q_forecast_display(spark, sf_dir):
+    return FC.display(FC.forecast_future(real_series(spark, sf_dir), 4))
+
+
+# ------------------------------------------------------------ extension
+from weekpanel.operators import extend as XT  # noqa: E402
+from weekpanel.params import DEFAULT as _P  # noqa: E402
+
+
+def _u(parts: str) -> str:
+    return f"((CAST(('0x' || substr(md5(concat_ws('|', {parts}, '42')), 1, 8)) AS UBIGINT) + 0.5) / 4294967296.0)"
+
+
+def _normal_sql(parts: str) -> str:
+    return f"(sqrt(-2.0 * ln({_u(parts + ', ' + chr(39) + 'n1' + chr(39))})) * cos(2.0 * pi() * {_u(parts + ', ' + chr(39) + 'n2' + chr(39))}))"
+
+
+EXT_SQL = MASTER_SQL.rstrip() + f""",
+lastr AS (SELECT max(year) AS last_year, max(week_id) AS wid0 FROM master),
+lastw AS (SELECT max(week) AS w0 FROM master, lastr WHERE year = last_year),
+tsteps AS (SELECT last_year AS y0, w0, wid0, unnest(generate_series(1, ({_P.extend_to_year} - last_year) * 52 + ({_P.extend_to_week} - least(w0, 52)))) AS i FROM lastr, lastw),
+tcal AS (
+  SELECT CAST(y0 + (least(w0, 52) - 1 + i) // 52 AS INTEGER) AS year, CAST((least(w0, 52) - 1 + i) % 52 + 1 AS INTEGER) AS week,
+         CAST(wid0 + i AS BIGINT) AS week_id
+  FROM tsteps
+),
+active AS (SELECT DISTINCT unit_id FROM master, lastr WHERE year >= last_year - {_P.active_years - 1}),
+inwin AS (SELECT DISTINCT unit_id FROM master, lastr WHERE year >= last_year - {_P.lookback_years - 1}),
+pool AS (
+  SELECT m.unit_id, m.year AS p_year, m.week AS p_week, m.week_id AS p_week_id, m.cases AS p_cases,
+         m.age_mean AS p_age_mean, m.warn_share AS p_warn_share, m.severe_share AS p_severe_share, m.female_share AS p_female_share,
+         pow({_P.recency_decay}, CAST(last_year - m.year AS DOUBLE)) AS weight
+  FROM master m, lastr
+  WHERE m.year >= last_year - {_P.lookback_years - 1} OR m.unit_id NOT IN (SELECT unit_id FROM inwin)
+),
+tg AS (SELECT a.unit_id, c.year, c.week, c.week_id FROM active a, tcal c),
+band AS (
+  SELECT t.unit_id, t.year, t.week, t.week_id, p.* EXCLUDE (unit_id) FROM tg t JOIN pool p
+  ON p.unit_id = t.unit_id AND least(abs(p.p_week - t.week), 52 - abs(p.p_week - t.week)) <= {_P.band_weeks}
+),
+hit AS (SELECT DISTINCT unit_id, week_id FROM band),
+fb AS (
+  SELECT t.unit_id, t.year, t.week, t.week_id, p.* EXCLUDE (unit_id) FROM tg t JOIN pool p ON p.unit_id = t.unit_id
+  WHERE NOT EXISTS (SELECT 1 FROM hit h WHERE h.unit_id = t.unit_id AND h.week_id = t.week_id)
+),
+cand AS (SELECT * FROM band UNION ALL SELECT * FROM fb),
+keyed AS (SELECT *, -ln({_u("unit_id, CAST(week_id AS VARCHAR), CAST(p_week_id AS VARCHAR)")}) / weight AS k FROM cand),
+drawn AS (
+  SELECT unit_id, year, week, week_id, d.w AS p_week_id, d.c AS p_cases, d.a AS p_age_mean, d.ws AS p_warn_share,
+         d.ss AS p_severe_share, d.fs AS p_female_share
+  FROM (SELECT unit_id, year, week, week_id,
+               arg_min({{'w': p_week_id, 'c': p_cases, 'a': p_age_mean, 'ws': p_warn_share, 'ss': p_severe_share,
+                        'fs': p_female_share}}, (k, p_week_id)) AS d
+        FROM keyed GROUP BY unit_id, year, week, week_id)
+),
+eps AS (
+  SELECT unit_id, week_id, row_number() OVER (PARTITION BY unit_id ORDER BY week_id) AS rn,
+         {_normal_sql("unit_id, CAST(week_id AS VARCHAR)")} * {_P.noise_sigma * (1 - _P.ar_rho ** 2) ** 0.5!r} AS e
+  FROM tg
+),
+x0 AS (SELECT unit_id, {_normal_sql("unit_id, '-1'")} * {_P.noise_sigma!r} AS x0 FROM active),
+ar AS (SELECT * FROM (
+  WITH RECURSIVE rec(unit_id, rn, week_id, log_f) AS (
+    SELECT e.unit_id, e.rn, e.week_id, {_P.ar_rho!r} * x0.x0 + e.e FROM eps e JOIN x0 ON e.unit_id = x0.unit_id WHERE e.rn = 1
+    UNION ALL
+    SELECT e.unit_id, e.rn, e.week_id, {_P.ar_rho!r} * rec.log_f + e.e FROM rec JOIN eps e ON e.unit_id = rec.unit_id AND e.rn = rec.rn + 1
+  ) SELECT unit_id, week_id, log_f FROM rec)
+),
+based AS (
+  SELECT d.*, p_cases * coalesce(CASE year {' '.join(f'WHEN {y} THEN {f!r}' for y, f in _P.year_intensity)} END, 1.0) AS base FROM drawn d
+),
+smoothed AS (SELECT *, avg(base) OVER (PARTITION BY unit_id ORDER BY week_id ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS smooth FROM based),
+firstgeo AS (SELECT unit_id, arg_min(region, week_id) AS region, arg_min(province, week_id) AS province, arg_min(district, week_id) AS district FROM master GROUP BY unit_id),
+sim0 AS (
+  SELECT s.*, CAST(greatest(round_even(s.smooth * exp(a.log_f), 0), 0) AS BIGINT) AS cases
+  FROM smoothed s JOIN ar a ON s.unit_id = a.unit_id AND s.week_id = a.week_id
+),
+sim AS (
+  SELECT s.unit_id, g.region, g.province, g.district, s.year, s.week,
+         CAST(make_date(s.year, 1, 1) + CAST(7 * (s.week - 1) AS INTEGER) AS DATE) AS week_start, s.week_id, s.cases,
+         CASE WHEN s.cases > 0 THEN p_age_mean END AS age_mean, CASE WHEN s.cases > 0 THEN p_warn_share END AS warn_share,
+         CASE WHEN s.cases > 0 THEN p_severe_share END AS severe_share, CASE WHEN s.cases > 0 THEN p_female_share END AS female_share,
+         'simulated' AS origin
+  FROM sim0 s LEFT JOIN firstgeo g ON s.unit_id = g.unit_id
+)
+"""
+
+
+def _real(spark, sf_dir):
+    return master(spark, sf_dir)
+
+
+@register("target_calendar", EXT_SQL + "SELECT year, week, week_id, CAST(make_date(year, 1, 1) + CAST(7 * (week - 1) AS INTEGER) AS DATE) AS week_start FROM tcal")
+def q_target_calendar(spark, sf_dir):
+    return XT.target_calendar(_real(spark, sf_dir))
+
+
+@register("active_units", EXT_SQL + "SELECT unit_id FROM active")
+def q_active_units(spark, sf_dir):
+    return XT.active_units(_real(spark, sf_dir))
+
+
+@register("seasonal_pool", EXT_SQL + "SELECT unit_id, week_id, CAST(count(*) AS BIGINT) AS n_candidates, round(sum(weight), 6) AS weight_sum FROM cand GROUP BY unit_id, week_id")
+def q_seasonal_pool(spark, sf_dir):
+    real = _real(spark, sf_dir)
+    c = XT.candidates(XT.targets(real), XT.pool(real))
+    return round6(c.groupBy("unit_id", "week_id").agg(F.count(F.lit(1)).alias("n_candidates"), F.sum("weight").alias("weight_sum")))
+
+
+@register("weighted_draw", EXT_SQL + "SELECT unit_id, week_id, p_week_id AS drawn_week_id, p_cases AS drawn_cases FROM drawn")
+def q_weighted_draw(spark, sf_dir):
+    real = _real(spark, sf_dir)
+    d = XT.weighted_draw(XT.candidates(XT.targets(real), XT.pool(real)))
+    return d.select("unit_id", "week_id", F.col("p_week_id").alias("drawn_week_id"), F.col("p_cases").alias("drawn_cases"))
+
+
+@register("ar1_path", EXT_SQL + "SELECT unit_id, week_id, round(log_f, 6) AS log_f FROM ar")
+def q_ar1_path(spark, sf_dir):
+    return round6(XT.ar1_path(XT.targets(_real(spark, sf_dir))))
+
+
+@register("bootstrap_extend", EXT_SQL + "SELECT unit_id, region, province, district, year, week, week_start, week_id, cases, "
+          "round(age_mean, 6) AS age_mean, round(warn_share, 6) AS warn_share, round(severe_share, 6) AS severe_share, "
+          "round(female_share, 6) AS female_share, origin FROM sim")
+def q_bootstrap_extend(spark, sf_dir):
+    return round6(XT.simulate(_real(spark, sf_dir)))
+
+
+@register("extension_summary", EXT_SQL + """SELECT CAST((SELECT count(*) FROM sim) AS BIGINT) AS simulated_rows,
+  CAST((SELECT count(*) FROM master) AS BIGINT) AS real_rows, CAST((SELECT count(DISTINCT unit_id) FROM sim) AS BIGINT) AS simulated_units,
+  CAST((SELECT coalesce(sum(cases), 0) FROM sim) AS BIGINT) AS simulated_cases, (SELECT min(week_start) FROM sim) AS simulated_from,
+  (SELECT max(week_start) FROM sim) AS simulated_to, (SELECT max(year) FROM master) AS last_real_year,
+  (SELECT count(*) > 0 FROM sim) AS has_simulation,
+  CASE WHEN (SELECT count(*) > 0 FROM sim) THEN (SELECT max(week_start) FROM master) END AS cut_date""")
+def q_extension_summary(spark, sf_dir):
+    return XT.extension_summary(XT.extend_panel(_real(spark, sf_dir)))
+
+
+@register("extend_panel")
+def q_extend_panel(spark, sf_dir):
+    return round6(XT.extend_panel(_real(spark, sf_dir)))
+
+
+@register("series_segments")
+def q_series_segments(spark, sf_dir):
+    ext = XT.extend_panel(_real(spark, sf_dir))
+    cut = F.broadcast(XT.extension_summary(ext).select("cut_date"))  # one row
+    national = _eda.weekly_series(ext, ("national",))
+    return XT.series_segments(national.crossJoin(cut))
