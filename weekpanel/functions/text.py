@@ -60,17 +60,32 @@ def _nfkd(c: Column) -> Column:
     )
 
 
+@functools.lru_cache(maxsize=1)
+def whitespace_chars() -> str:
+    """Every code point Python's ``str.strip`` / ``\\s`` treat as whitespace."""
+    return "".join(chr(cp) for cp in range(sys.maxunicode + 1) if chr(cp).isspace())
+
+
+def _ws_class() -> str:
+    return "[" + "".join(f"\\x{{{ord(ch):X}}}" for ch in whitespace_chars()) + "]+"
+
+
+def strip_ws(c: Column | str) -> Column:
+    """Trim Unicode whitespace at both ends (no regex)."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.btrim(c, F.lit(whitespace_chars()))
+
+
 def normalize_text(c: Column | str) -> Column:
     """Upper-case, accent-free, single-spaced text. NULL stays NULL.
 
     Pure-ASCII values (the common case for names and labels) skip the
     decomposition: NFKD is the identity on ASCII and there are no marks."""
-    c = F.col(c) if isinstance(c, str) else c
-    up = F.upper(F.regexp_replace(c, r"(?U)^\s+|\s+$", ""))
+    up = F.upper(strip_ws(c))
     folded = F.when(
         up.rlike(r"[^\x00-\x7F]"), F.regexp_replace(_nfkd(up), combining_class_regex(), "")
     ).otherwise(up)
-    return F.regexp_replace(folded, r"(?U)\s+", " ")
+    return F.regexp_replace(folded, _ws_class(), " ")
 
 
 def normalize_header(df: DataFrame) -> DataFrame:

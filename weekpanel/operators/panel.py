@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekpanel.functions.calendar import epi_week_start
+from weekpanel.functions.text import normalize_text
 from weekpanel.schema import AUX_COLS, GEO_COLS
 
 def unit_order(unit: str = "unit_id", order: str = "week_id"):
@@ -30,17 +31,35 @@ def unit_order(unit: str = "unit_id", order: str = "week_id"):
 
 def case_groups(cases: DataFrame) -> DataFrame:
     """One map-side-combined aggregate of the cleaned cases by unit, week and
-    geography spelling; re-aggregable sums only."""
-    return cases.groupBy("unit_id", "year", "week", *GEO_COLS).agg(
+    text spelling (geography, and the raw disease label when the cases were
+    cleaned without folding); re-aggregable sums only."""
+    folded = "disease" not in cases.columns
+    keys = ["unit_id", "year", "week", *GEO_COLS] + ([] if folded else ["disease"])
+    sums = [F.sum("warn_or_severe").alias("warn_n"), F.sum("severe").alias("severe_n")] if folded else []
+    return cases.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("age_years").alias("age_sum"),
         F.count("age_years").alias("age_n"),
-        F.sum("warn_or_severe").alias("warn_n"),
-        F.sum("severe").alias("severe_n"),
+        *sums,
         F.sum("female").alias("female_n"),
     )
 
 
+def fold_group_severity(groups: DataFrame) -> DataFrame:
+    """Warning / severe counts from raw disease spellings: the distinct
+    spellings are folded once and joined back (a small table; Spark's size
+    check / AQE picks the broadcast)."""
+    from weekpanel.operators.clean import severity_flags
+
+    labels = groups.select("disease").distinct()
+    warn, severe = severity_flags(normalize_text("disease"))
+    labels = labels.select("disease", warn.alias("_w"), severe.alias("_s"))
+    j = groups.join(labels, groups.disease.eqNullSafe(labels.disease), "left").drop(labels.disease)
+    return j.withColumn("warn_n", F.col("n") * F.coalesce("_w", F.lit(0))).withColumn(
+        "severe_n", F.col("n") * F.coalesce("_s", F.lit(0))
+    ).drop("_w", "_s", "disease")
+
+
 def epi_calendar(weeks: DataFrame) -> DataFrame:
     """Global week grid: for each year present, weeks 1..max observed week of
     that year, numbered 0.. in order (years without rows are skipped, so the
@@ -54,15 +73,19 @@ def epi_calendar(weeks: DataFrame) -> DataFrame:
     return cal.withColumn("week_start", epi_week_start("year", "week"))
 
 
-def modal_geography(groups: DataFrame) -> DataFrame:
-    """Most frequent spelling of each geography column per unit; ties go to the
-    smallest value; NULLs are ignored (all-NULL -> NULL)."""
+def modal_geography(groups: DataFrame, fold: bool = False) -> DataFrame:
+    """Most frequent (folded) spelling of each geography column per unit; ties
+    go to the smallest value; NULLs are ignored (all-NULL -> NULL). With
+    ``fold`` the raw spellings are counted first and folded afterwards, so
+    the text work runs on (unit, spelling) pairs only."""
     kv = groups.select(
         "unit_id",
         "n",
         F.explode(F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).alias("v")) for c in GEO_COLS])).alias("kv"),
     ).select("unit_id", "n", "kv.k", "kv.v").filter(F.col("v").isNotNull())
     counts = kv.groupBy("unit_id", "k", "v").agg(F.sum("n").alias("cnt"))
+    if fold:
+        counts = counts.withColumn("v", normalize_text("v")).groupBy("unit_id", "k", "v").agg(F.sum("cnt").alias("cnt"))
     return counts.groupBy("unit_id").agg(
         *[
             F.min_by(

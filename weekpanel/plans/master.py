@@ -16,6 +16,7 @@ from weekpanel.operators.panel import (
     case_groups,
     epi_calendar,
     fill_zero_weeks,
+    fold_group_severity,
     min_history,
     modal_geography,
     panel_years,
@@ -34,14 +35,16 @@ def dense_panel(raw: DataFrame, params: Params = DEFAULT, materialize: bool = Tr
     with ``materialize`` its one aggregate is checkpointed to the shared
     checkpoint folder, so the raw data is read exactly once and a lost
     executor never forces a re-read of it."""
-    cases = clean_cases(raw, params)
+    cases = clean_cases(raw, params, fold_text=False)
     groups = case_groups(cases)
     if materialize:
-        groups = cut_lineage(groups)
+        groups = cut_lineage(groups, "case_groups")
+    geo = modal_geography(groups, fold=True)
+    groups = fold_group_severity(groups)
     cal = epi_calendar(groups.select("year", "week"))
     agg = unit_week_aggregate(groups, cal)
     filled = fill_zero_weeks(agg, cal)
-    return attach_geography(filled, modal_geography(groups)), cal, agg
+    return attach_geography(filled, geo), cal, agg
 
 
 def build_master(raw: DataFrame, params: Params = DEFAULT, materialize: bool = True) -> DataFrame:

@@ -43,7 +43,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def cut_lineage(df, name: str = "stage"):
+    """Materialise ``df`` as a Parquet table under the shared checkpoint
+    folder and continue from a scan of it.
+
+    One job computes the input exactly once (``Dataset.checkpoint`` without a
+    persist computes it twice: once to count, once to write), the files live
+    on the cluster's shared storage so a lost executor costs nothing, and
+    the scan downstream gets fresh statistics for the planner."""
+    import uuid
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

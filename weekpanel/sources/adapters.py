@@ -27,6 +27,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a fact-table scan that has fewer input splits than the
+    session has task slots (e.g. one unsplittable file). Checked on the plan;
+    a large scan already has many splits and is left alone, so there is no
+    extra shuffle at scale."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
 def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
@@ -52,9 +61,9 @@ def _severity(flag_col, none_v, warn_v, severe_v):
 def supplier_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem as a case list: unit = supplier, geography = region / nation /
     supplier name, week from the ship date, severity from the return flag."""
-    li = table(spark, sf_dir, "lineitem").select(
+    li = spread(table(spark, sf_dir, "lineitem").select(
         "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate"
-    )
+    ))
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     geo = _geo(spark, sf_dir)
     j = li.join(sup, li.l_suppkey == sup.s_suppkey, "left").join(
@@ -81,7 +90,7 @@ def supplier_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nation_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders as a case list: unit = customer nation, week from the order date."""
-    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus", "o_orderdate", "o_totalprice")
+    o = spread(table(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus", "o_orderdate", "o_totalprice"))
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     geo = _geo(spark, sf_dir)
     j = o.join(c, o.o_custkey == c.c_custkey, "left").join(geo, F.col("c_nationkey") == geo.n_nationkey, "left")
@@ -102,7 +111,7 @@ def nation_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def customer_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders as a sparse case list: unit = customer."""
-    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus", "o_orderdate")
+    o = spread(table(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus", "o_orderdate"))
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     geo = _geo(spark, sf_dir)
     j = o.join(c, o.o_custkey == c.c_custkey, "left").join(geo, F.col("c_nationkey") == geo.n_nationkey, "left")
