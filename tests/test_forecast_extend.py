@@ -77,3 +77,27 @@ def test_target_calendar_wraps(spark):
     assert (cal[0].year, cal[0].week) == (2025, 1)
     assert cal[0].week_start == datetime.date(2025, 1, 1)
     assert max(r.week for r in cal) == 52
+
+
+def test_tree_shap_additivity(spark):
+    from weekpanel.operators import classify as CF
+    from weekpanel.params import Params
+    from weekpanel.plans.master import build_master
+    from tests.fixtures import raw_cases
+
+    m = build_master(raw_cases(spark), Params(min_history_weeks=10))
+    fr = CF.modeling_frame(m).cache()
+    for name, p in (("decision_tree", Params(tree_depth=4, tree_min_leaf=5)), ("random_forest", Params(rf_trees=3, rf_depth=3, rf_min_leaf=5))):
+        model = CF.fit(fr, name, p, balanced=False)
+        import tempfile
+
+        phi = CF.tree_shap_values(model, fr, tempfile.mkdtemp(prefix="wp-tree-"), 20, 1).collect()
+        expected = [r.phi for r in phi if r.feature == "_expected"][0]
+        sums = {}
+        for r in phi:
+            if r.feature != "_expected":
+                sums[(r.unit_id, r.week_id)] = sums.get((r.unit_id, r.week_id), 0.0) + r.phi
+        scored = {(r.unit_id, r.week_id): r.proba for r in CF.score(model, fr, name).collect()}
+        assert sums
+        for k, s in sums.items():
+            assert abs(expected + s - scored[k]) < 1e-6, (name, k)

@@ -46,7 +46,7 @@ def preprocessor() -> list:
     ]
 
 
-def estimator(name: str, params: Params = DEFAULT, weight_col: str | None = None):
+def estimator(name: str, params: Params = DEFAULT, weight_col: str | None = None, n_train: int | None = None):
     common = dict(featuresCol="features", labelCol="y")
     if weight_col:
         common["weightCol"] = weight_col
@@ -57,7 +57,8 @@ def estimator(name: str, params: Params = DEFAULT, weight_col: str | None = None
         return GBTClassifier(maxIter=params.boost_rounds, stepSize=params.boost_rate, maxDepth=3 if name == "gradient_boosting" else 6,
                              seed=params.seed, **common)
     if name == "logistic_regression":
-        return LogisticRegression(maxIter=1000, regParam=0.0, **common)
+        # L2 strength 1 / n on the mean loss (C = 1 on the summed loss)
+        return LogisticRegression(maxIter=1000, regParam=1.0 / max(n_train or 1, 1), elasticNetParam=0.0, **common)
     if name == "decision_tree":
         return DecisionTreeClassifier(maxDepth=params.tree_depth, minInstancesPerNode=params.tree_min_leaf,
                                       seed=params.seed, **common)
@@ -75,7 +76,8 @@ def fit(frame: DataFrame, name: str, params: Params = DEFAULT, balanced: bool =
     if balanced:
         train = with_class_weights(train, "y", params.balance_if_majority_over)
         wcol = weight_column(name)
-    return Pipeline(stages=preprocessor() + [estimator(name, params, wcol)]).fit(train)
+    n_train = train.count() if name == "logistic_regression" else None
+    return Pipeline(stages=preprocessor() + [estimator(name, params, wcol, n_train)]).fit(train)
 
 
 def score(model: PipelineModel, frame: DataFrame, name: str, threshold: float = 0.5) -> DataFrame:
@@ -123,3 +125,44 @@ def top_contributions(phi: DataFrame, n: int = 10) -> DataFrame:
 
 def global_importance(phi: DataFrame) -> DataFrame:
     return phi.groupBy("feature").agg(F.avg(F.abs("phi")).alias("mean_abs_phi"))
+
+
+def tree_nodes(model: PipelineModel, path: str) -> DataFrame:
+    """Node table of the fitted tree classifier (saved under ``path``)."""
+    clf = model.stages[-1]
+    clf.write().overwrite().save(path)
+    spark = SparkSessionRef.get()
+    data = spark.read.parquet(f"{path.rstrip('/')}/data")
+    if "nodeData" in data.columns:
+        data = data.select("treeID", "nodeData.*")
+    return data
+
+
+class SparkSessionRef:
+    @staticmethod
+    def get():
+        from pyspark.sql import SparkSession
+
+        return SparkSession.getActiveSession()
+
+
+def tree_shap_values(model: PipelineModel, frame: DataFrame, path: str, n: int = 400, seed: int = 42) -> DataFrame:
+    """Tree SHAP (class-1 probability) for a stable sample of ``n`` rows of
+    ``frame``: (unit_id, week_id, feature, phi) plus the model's expected value
+    as feature '_expected' on row (-1, -1)."""
+    from weekpanel.operators.eda import stable_sample
+    from weekpanel.operators.treeshap import tree_shap
+
+    prep = PipelineModel(stages=model.stages[:-1])
+    sample = stable_sample(frame, ["unit_id", "week_id"], n, seed)
+    feats = prep.transform(sample).select("unit_id", "week_id", vector_to_array("features").alias("x"))
+    pdf = feats.toPandas()  # bounded: the explainer sample (n rows x features)
+    pdf["row"] = range(len(pdf))
+    names = feature_names(model)
+    phi = tree_shap(tree_nodes(model, path), pdf[["row", "x"]], len(names), names)
+    spark = frame.sparkSession
+    keys = spark.createDataFrame(
+        [(int(r), u, int(w)) for r, u, w in zip(pdf["row"], pdf["unit_id"], pdf["week_id"])] + [(-1, None, None)],
+        "row long, unit_id string, week_id long",
+    )
+    return phi.join(keys, "row").select("unit_id", "week_id", "feature", "phi")

@@ -7,8 +7,6 @@ the approximate variant."""
 
 from __future__ import annotations
 
-from itertools import product
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -141,20 +139,24 @@ def iqr_outliers(df: DataFrame, col: str = "cases") -> DataFrame:
 
 def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pairwise-complete Pearson correlation, long form (a, b, corr); NULL
-    where either column is constant on the pair's rows (ANSI-safe)."""
+    where either column is constant on the pair's rows (ANSI-safe). One pass;
+    only the upper triangle is aggregated and mirrored."""
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
     aggs = []
-    for a, b in product(cols, cols):
+    for k, (a, b) in enumerate(pairs):
         xa, xb = F.col(a).cast("double"), F.col(b).cast("double")
         both = xa.isNotNull() & xb.isNotNull()
         sa = F.stddev_pop(F.when(both, xa))
         sb = F.stddev_pop(F.when(both, xb))
         cov = F.covar_pop(xa, xb)
-        aggs.append(
-            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
-                     F.when((sa > 0) & (sb > 0), cov / (sa * sb)).alias("corr")).alias(f"{a}__{b}")
-        )
+        aggs.append(F.when((sa > 0) & (sb > 0), cov / (sa * sb)).alias(f"c{k}"))
     one = df.agg(*aggs)
-    return one.select(F.explode(F.array(*[F.col(f"`{a}__{b}`") for a, b in product(cols, cols)])).alias("s")).select("s.*")
+    entries = []
+    for k, (a, b) in enumerate(pairs):
+        entries.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"c{k}").alias("corr")))
+        if a != b:
+            entries.append(F.struct(F.lit(b).alias("a"), F.lit(a).alias("b"), F.col(f"c{k}").alias("corr")))
+    return one.select(F.explode(F.array(*entries)).alias("s")).select("s.*")
 
 
 def top_categories(df: DataFrame, cat: str, value: str = "cases", n: int = 15) -> DataFrame:

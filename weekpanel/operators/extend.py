@@ -105,7 +105,8 @@ def candidates(tg: DataFrame, pl: DataFrame, params: Params = DEFAULT) -> DataFr
 
 def weighted_draw(cand: DataFrame, params: Params = DEFAULT) -> DataFrame:
     """One pool row per (unit, target week), drawn with probability
-    proportional to its weight (exponential keys)."""
+    proportional to its weight (exponential keys), from a long candidate
+    table. See ``draw`` for the array form used by ``simulate``."""
     u = hash_uniform("unit_id", "week_id", "p_week_id", seed=params.seed)
     key = -F.log(u) / F.col("weight")
     drawn = F.struct("p_week_id", "p_cases", *[f"p_{c}" for c in AUX_COLS])
@@ -114,40 +115,93 @@ def weighted_draw(cand: DataFrame, params: Params = DEFAULT) -> DataFrame:
     ).select("unit_id", "year", "week", "week_id", "d.*")
 
 
+_CAND_FIELDS = ["p_week_id", "weight", "p_cases", *[f"p_{c}" for c in AUX_COLS]]
+
+
+def candidate_arrays(pl: DataFrame, params: Params = DEFAULT) -> tuple[DataFrame, DataFrame]:
+    """Candidates per (unit, target week of year) as arrays: the pool rows
+    whose residue is within the circular band of that week (at most
+    lookback years x (2 band + 1) rows), and per unit the whole pool (the
+    fallback when the band is empty). The target weeks and offsets are a
+    52 x (2 band + 1) parameter table."""
+    spark = pl.sparkSession
+    rows = [(w, (w - 1 + d) % PERIOD) for w in range(1, PERIOD + 1) for d in range(-params.band_weeks, params.band_weeks + 1)]
+    band_map = F.broadcast(spark.createDataFrame(sorted(set(rows)), "week int, residue int"))
+    item = F.struct(*_CAND_FIELDS)
+    band = pl.join(band_map, "residue").groupBy("unit_id", "week").agg(F.collect_list(item).alias("band"))
+    whole = pl.groupBy("unit_id").agg(F.collect_list(item).alias("whole"))
+    return band, whole
+
+
+def draw(tg: DataFrame, band: DataFrame, whole: DataFrame, params: Params = DEFAULT) -> DataFrame:
+    """For every target row pick the candidate with the smallest exponential
+    key -ln(u)/w (ties by pool week id); u from md5 of (unit, target week
+    id, pool week id). Same draw as ``weighted_draw``, evaluated inside the
+    bounded candidate array of the target's week instead of a long join."""
+    pw = F.pmod(F.least(F.col("week"), F.lit(PERIOD)) - 1, F.lit(PERIOD)) + 1
+    j = tg.withColumn("_w", pw).join(band.withColumnRenamed("week", "_w"), ["unit_id", "_w"], "left").join(whole, "unit_id", "left")
+    cands = F.when(F.size(F.coalesce(F.col("band"), F.array())) > 0, F.col("band")).otherwise(F.col("whole"))
+
+    def keyed(c):
+        u = hash_uniform(F.col("unit_id"), F.col("week_id"), c["p_week_id"], seed=params.seed)
+        return F.struct((-F.log(u) / c["weight"]).alias("k"), c["p_week_id"].alias("p"), c.alias("c"))
+
+    best = F.array_min(F.transform(cands, keyed))
+    return j.select("unit_id", "year", "week", "week_id", best["c"].alias("d")).select(
+        "unit_id", "year", "week", "week_id", *[F.col("d")[f].alias(f) for f in _CAND_FIELDS if f != "weight"]
+    )
+
+
 def _normal(*parts, seed: int):
     u1 = hash_uniform(*parts, F.lit("n1"), seed=seed)
     u2 = hash_uniform(*parts, F.lit("n2"), seed=seed)
     return F.sqrt(-2.0 * F.log(u1)) * F.cos(2.0 * math.pi * u2)
 
 
+AR_BLOCK = 256
+
+
 def ar1_path(tg: DataFrame, params: Params = DEFAULT) -> DataFrame:
     """log-intensity x_t = rho * x_{t-1} + e_t per unit over its target weeks,
     e_t ~ N(0, sigma^2 (1 - rho^2)), x_{-1} ~ N(0, sigma^2). Returns
-    (unit_id, week_id, log_f)."""
+    (unit_id, week_id, log_f).
+
+    Computed without a sequential loop: inside blocks of AR_BLOCK weeks,
+    x_{s+j} = rho^(j+1) P + rho^j * sum_{i<=j} rho^(-i) e_{s+i} (a running
+    window sum; the scale stays finite because j < AR_BLOCK), and the block
+    start states P are chained over the few blocks of each unit."""
     rho, sigma = params.ar_rho, params.noise_sigma
     e = _normal("unit_id", "week_id", seed=params.seed) * (sigma * math.sqrt(1 - rho * rho))
-    x0 = _normal("unit_id", F.lit(-1), seed=params.seed) * sigma
-    per = tg.select("unit_id", "week_id", e.alias("e")).groupBy("unit_id").agg(
-        F.sort_array(F.collect_list(F.struct("week_id", "e"))).alias("s")
-    )
-    per = per.withColumn("x0", F.lit(0.0))  # placeholder, replaced below
-    per = per.withColumn("x0", x0)
-    init = F.struct(F.col("x0").alias("prev"), F.array().cast("array<double>").alias("acc"))
-    path = F.aggregate(
-        "s", init,
+    t = (F.row_number().over(unit_order()) - 1).cast("long")
+    base = tg.select("unit_id", "week_id", e.alias("e")).withColumn("t", t)
+    base = base.withColumn("b", F.floor(F.col("t") / AR_BLOCK)).withColumn("j", F.col("t") - F.col("b") * AR_BLOCK)
+    run = Window.partitionBy("unit_id", "b").orderBy("t").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    base = base.withColumn("s", F.sum(F.pow(F.lit(rho), -F.col("j").cast("double")) * F.col("e")).over(run))
+    # per block: length L and the scaled sum at its end (a handful of rows per unit)
+    ends = base.groupBy("unit_id", "b").agg(F.max_by("s", "t").alias("s_end"), F.count(F.lit(1)).alias("L"))
+    x0 = tg.select("unit_id").distinct().select("unit_id", (_normal("unit_id", F.lit(-1), seed=params.seed) * sigma).alias("x0"))
+    blocks = ends.groupBy("unit_id").agg(F.sort_array(F.collect_list(F.struct("b", "L", "s_end"))).alias("blk")).join(x0, "unit_id")
+    init = F.struct(F.col("x0").alias("p"), F.array().cast("array<struct<b:bigint,p:double>>").alias("acc"))
+    chain = F.aggregate(
+        "blk", init,
         lambda acc, x: F.struct(
-            (F.lit(rho) * acc["prev"] + x["e"]).alias("prev"),
-            F.array_append(acc["acc"], F.lit(rho) * acc["prev"] + x["e"]).alias("acc"),
+            (F.pow(F.lit(rho), x["L"].cast("double")) * acc["p"]
+             + F.pow(F.lit(rho), (x["L"] - 1).cast("double")) * x["s_end"]).alias("p"),
+            F.array_append(acc["acc"], F.struct(x["b"].cast("bigint").alias("b"), acc["p"].alias("p"))).alias("acc"),
         ),
     )
-    z = per.select("unit_id", F.arrays_zip(F.col("s.week_id").alias("week_id"), path["acc"].alias("log_f")).alias("z"))
-    return z.select("unit_id", F.explode("z").alias("r")).select("unit_id", "r.week_id", "r.log_f")
+    starts = blocks.select("unit_id", F.explode(chain["acc"]).alias("z")).select("unit_id", F.col("z.b").alias("b"), F.col("z.p").alias("p"))
+    j = base.join(starts, ["unit_id", "b"])
+    jj = F.col("j").cast("double")
+    log_f = F.pow(F.lit(rho), jj + 1) * F.col("p") + F.pow(F.lit(rho), jj) * F.col("s")
+    return j.select("unit_id", "week_id", log_f.alias("log_f"))
 
 
 def simulate(real: DataFrame, params: Params = DEFAULT) -> DataFrame:
     """Simulated base rows (BASE_COLUMNS + origin)."""
     tg = targets(real, params)
-    drawn = weighted_draw(candidates(tg, pool(real, params), params), params)
+    band, whole = candidate_arrays(pool(real, params), params)
+    drawn = draw(tg, band, whole, params)
     imap = F.create_map(*[x for y, f in params.year_intensity for x in (F.lit(int(y)), F.lit(float(f)))])
     base = drawn.withColumn("base", F.col("p_cases") * F.coalesce(F.element_at(imap, F.col("year")), F.lit(1.0)))
     w = Window.partitionBy("unit_id").orderBy("week_id").rowsBetween(-(params.smooth_window // 2), params.smooth_window // 2)

@@ -492,7 +492,10 @@ def q_extend_panel(spark, sf_dir):
 
 @register("series_segments")
 def q_series_segments(spark, sf_dir):
-    ext = XT.extend_panel(_real(spark, sf_dir))
+    from weekpanel.session import cut_lineage
+
+    # the extended panel feeds two branches: materialise it once
+    ext = cut_lineage(XT.extend_panel(_real(spark, sf_dir)), "extended_panel")
     cut = F.broadcast(XT.extension_summary(ext).select("cut_date"))  # one row
     national = _eda.weekly_series(ext, ("national",))
     return XT.series_segments(national.crossJoin(cut))

@@ -60,3 +60,23 @@ def build_master(raw: DataFrame, params: Params = DEFAULT, materialize: bool = T
     feats = add_features(panel, params.ma_window, params.season_length)
     feats = feats.withColumn("origin", F.lit(ORIGIN_REAL))
     return add_target_and_split(feats, params, years).select(*MASTER_COLUMNS)
+
+
+def load_or_build_master(spark, path: str, raw: DataFrame | None = None, rebuild: bool = False,
+                         extend: bool = True, real_only: bool = False, params: Params = DEFAULT) -> DataFrame:
+    """Reuse the saved panel at ``path`` unless ``rebuild``; otherwise build
+    it from ``raw`` (optionally extended by seasonal bootstrap), write it
+    partitioned by split, and continue from the written table."""
+    from weekpanel.operators.extend import extend_panel
+    from weekpanel.sources import io
+
+    m = None if rebuild else io.read_optional(spark, path)
+    if m is None:
+        if raw is None:
+            raise ValueError("no saved panel and no raw case list to build one from")
+        m = build_master(raw, params)
+        if extend:
+            m = extend_panel(m, params)
+        io.write_master(m, path)
+    m = io.read_master(spark, path)
+    return m.filter(F.col("origin") == ORIGIN_REAL) if real_only else m

@@ -325,3 +325,13 @@ def q_scan_master(spark, sf_dir):
     path = _scratch(spark, "master")
     io.write_master(master(spark, sf_dir), path)
     return round6(io.read_master(spark, path).select(*MASTER_COLUMNS))
+
+
+@register("shap_tree")
+def q_shap_tree(spark, sf_dir):
+    """Tree SHAP of the random forest (class-1 probability) on a stable
+    400-row sample of the test split; per-tree work in applyInPandas."""
+    fr = _frame(spark, sf_dir)
+    model = CF.fit(fr, "random_forest", ML.replace(rf_trees=10, rf_depth=6))
+    path = _scratch(spark, "models")
+    return CF.tree_shap_values(model, fr.filter(F.col("split") == "test"), path, 400, ML.seed)
