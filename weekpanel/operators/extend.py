@@ -133,6 +133,16 @@ def candidate_arrays(pl: DataFrame, params: Params = DEFAULT) -> tuple[DataFrame
     return band, whole
 
 
+def pool_sizes(tg: DataFrame, band: DataFrame, whole: DataFrame) -> DataFrame:
+    """Candidates per target row: (unit_id, week_id, n_candidates, weight_sum)."""
+    j = tg.withColumnRenamed("week", "_w").join(band.withColumnRenamed("week", "_w"), ["unit_id", "_w"], "left").join(whole, "unit_id", "left")
+    cands = F.when(F.size(F.coalesce(F.col("band"), F.array())) > 0, F.col("band")).otherwise(F.col("whole"))
+    return j.select(
+        "unit_id", "week_id", F.size(cands).cast("long").alias("n_candidates"),
+        F.aggregate(cands, F.lit(0.0), lambda acc, c: acc + c["weight"]).alias("weight_sum"),
+    )
+
+
 def draw(tg: DataFrame, band: DataFrame, whole: DataFrame, params: Params = DEFAULT) -> DataFrame:
     """For every target row pick the candidate with the smallest exponential
     key -ln(u)/w (ties by pool week id); u from md5 of (unit, target week

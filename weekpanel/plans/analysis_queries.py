@@ -452,8 +452,7 @@ def q_active_units(spark, sf_dir):
 @register("seasonal_pool", EXT_SQL + "SELECT unit_id, week_id, CAST(count(*) AS BIGINT) AS n_candidates, round(sum(weight), 6) AS weight_sum FROM cand GROUP BY unit_id, week_id")
 def q_seasonal_pool(spark, sf_dir):
     real = _real(spark, sf_dir)
-    c = XT.candidates(XT.targets(real), XT.pool(real))
-    return round6(c.groupBy("unit_id", "week_id").agg(F.count(F.lit(1)).alias("n_candidates"), F.sum("weight").alias("weight_sum")))
+    return round6(XT.pool_sizes(XT.targets(real), *XT.candidate_arrays(XT.pool(real))))
 
 
 @register("weighted_draw", EXT_SQL + "SELECT unit_id, week_id, p_week_id AS drawn_week_id, p_cases AS drawn_cases FROM drawn")
