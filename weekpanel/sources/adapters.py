@@ -32,8 +32,12 @@ def spread(df: DataFrame) -> DataFrame:
     session has task slots (e.g. one unsplittable file). Checked on the plan;
     a large scan already has many splits and is left alone, so there is no
     extra shuffle at scale."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a remote session): leave the scan as is
+        return df
+    return df.repartition(slots) if parts < slots else df
 
 
 def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
