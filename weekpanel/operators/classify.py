@@ -131,21 +131,14 @@ def tree_nodes(model: PipelineModel, path: str) -> DataFrame:
     """Node table of the fitted tree classifier (saved under ``path``)."""
     clf = model.stages[-1]
     clf.write().overwrite().save(path)
-    spark = SparkSessionRef.get()
-    data = spark.read.parquet(f"{path.rstrip('/')}/data")
+    from pyspark.sql import SparkSession
+
+    data = SparkSession.getActiveSession().read.parquet(f"{path.rstrip('/')}/data")
     if "nodeData" in data.columns:
         data = data.select("treeID", "nodeData.*")
     return data
 
 
-class SparkSessionRef:
-    @staticmethod
-    def get():
-        from pyspark.sql import SparkSession
-
-        return SparkSession.getActiveSession()
-
-
 def tree_shap_values(model: PipelineModel, frame: DataFrame, path: str, n: int = 400, seed: int = 42) -> DataFrame:
     """Tree SHAP (class-1 probability) for a stable sample of ``n`` rows of
     ``frame``: (unit_id, week_id, feature, phi) plus the model's expected value

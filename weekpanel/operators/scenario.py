@@ -7,8 +7,6 @@ a unit with a long history costs no more than one with a short one."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -118,5 +116,3 @@ def scenario_table(latest: DataFrame, deltas: DataFrame) -> DataFrame:
 def feature_row(df: DataFrame) -> DataFrame:
     return df.withColumn("week_sin", week_sin("week")).withColumn("week_cos", week_cos("week"))
 
-
-PI2 = 2 * math.pi

@@ -18,12 +18,8 @@ from weekpanel.functions.scalar import age_in_years
 from weekpanel.functions.text import normalize_text
 from weekpanel.operators import audit, eda
 from weekpanel.operators.clean import clean_cases
-from weekpanel.operators.features import add_features
-from weekpanel.operators.label import add_target_and_split, train_thresholds
-from weekpanel.operators.panel import (
-    case_groups, epi_calendar, fill_zero_weeks, attach_geography, min_history, modal_geography,
-    unit_week_aggregate, panel_years,
-)
+from weekpanel.operators.label import train_thresholds
+from weekpanel.operators.panel import case_groups, epi_calendar, min_history, modal_geography, unit_week_aggregate
 from weekpanel.params import Params
 from weekpanel.plans import oracle as O
 from weekpanel.plans.master import build_master, dense_panel
@@ -53,9 +49,6 @@ def round6(df: DataFrame) -> DataFrame:
     )
 
 
-_MASTER_CACHE: dict = {}
-
-
 def master(spark: SparkSession, sf_dir: str, params: Params = ADAPTER) -> DataFrame:
     return build_master(supplier_cases(spark, sf_dir), params)
 
@@ -147,10 +140,6 @@ def q_fill_zero_weeks(spark, sf_dir):
     return round6(panel)
 
 
-def _customer_sql_cases() -> str:
-    return O.CASES.replace("lpad(CAST(l.l_suppkey AS VARCHAR), 6, '0')", "lpad(CAST(l.l_suppkey AS VARCHAR), 6, '0')")
-
-
 @register("min_history", O.with_ctes(O.CASES, O.CALENDAR, O.AGG, O.GEO, O.DENSE, O.hist(300))
           + "SELECT unit_id, count(*) AS weeks, sum(cases) AS cases FROM hist GROUP BY unit_id")
 def q_min_history(spark, sf_dir):
