@@ -354,3 +354,18 @@ def q_audit_splits(spark, sf_dir):
  round(count(*) / sum(count(*)) OVER (), 6) AS share FROM master GROUP BY target""")
 def q_audit_target(spark, sf_dir):
     return round6(audit.target_mix(master(spark, sf_dir)))
+
+
+@register("customer_panel", O.with_ctes(O.CUSTOMER_CASES, O.CALENDAR, O.AGG, O.GEO, O.DENSE, O.hist(30))
+          + "SELECT unit_id, week_id, year, week, cases, round(warn_share, 6) AS warn_share, "
+            "round(severe_share, 6) AS severe_share, round(female_share, 6) AS female_share, age_mean, "
+            "region, province, district FROM hist")
+def q_customer_panel(spark, sf_dir):
+    """Sparse stress case: customers as units (few cases each, long gaps),
+    zero-filled and history-filtered."""
+    from weekpanel.sources.adapters import customer_cases
+
+    panel, _, _ = dense_panel(customer_cases(spark, sf_dir), ADAPTER)
+    kept = min_history(panel, ADAPTER.min_history_weeks)
+    return round6(kept.select("unit_id", "week_id", "year", "week", "cases", "warn_share", "severe_share", "female_share",
+                              "age_mean", "region", "province", "district"))

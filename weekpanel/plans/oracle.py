@@ -147,3 +147,25 @@ def master_ctes(n: int = 30) -> str:
 
 def r6(col: str, alias: str | None = None) -> str:
     return f"round({col}, 6) AS {alias or col}"
+
+
+# cleaned cases of the sparse customer adapter (orders as a case list)
+CUSTOMER_CASES = f"""
+raw_cases AS (
+  SELECT lpad(CAST(o.o_custkey AS VARCHAR), 6, '0') AS unit_id,
+         {norm('r.r_name')} AS region, {norm('n.n_name')} AS province, {norm('c.c_name')} AS district,
+         CAST(year(o.o_orderdate) AS INTEGER) AS year,
+         CAST((dayofyear(o.o_orderdate) - 1) // 7 + 1 AS INTEGER) AS week,
+         o.o_orderstatus AS flag
+  FROM orders o
+  LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+  LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+  LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
+),
+cases AS (
+  SELECT unit_id, region, province, district, year, week, CAST(NULL AS DOUBLE) AS age_years,
+         CAST(coalesce(flag IN ('P', 'F'), false) AS INTEGER) AS warn_or_severe,
+         CAST(coalesce(flag = 'F', false) AS INTEGER) AS severe, 0 AS female
+  FROM raw_cases
+  WHERE week BETWEEN 1 AND 53 AND year BETWEEN 1990 AND 2100
+)"""
