@@ -113,6 +113,20 @@ def word_spans(b: np.ndarray, separator: np.ndarray = SPACE):
     return edge[0::2], edge[1::2]
 
 
+def word_and_stem_hashes(b: np.ndarray, separator: np.ndarray, stems: tuple):
+    """Hashes of the words, and of the first ``k`` bytes of longer words for each ``k`` of ``stems``."""
+    hs, ts = [], [[] for _ in stems]
+    for lo, hi in _cuts(b, separator):
+        piece = FOLD[b[lo:hi]]
+        s, e = word_spans(piece, separator)
+        c = prefix_sums(piece)
+        hs.append(substring_hashes(c, s, e))
+        for k, t in zip(stems, ts, strict=True):
+            long = s[e - s > k]
+            t.append(substring_hashes(c, long, long + k))
+    return [np.concatenate(x) if x else np.zeros(0, U) for x in (hs, *ts)]
+
+
 def word_hashes(b: np.ndarray, separator: np.ndarray = SPACE, spans: bool = False):
     """64-bit hashes of the words, A-Z folded; with ``spans`` also starts, ends."""
     hs, ss, es = [], [], []

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weekpanel.llm import line_dedup, mixing, url_filter
+from weekpanel.llm import chat_format, line_dedup, mixing, toxicity, url_filter
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -42,3 +42,19 @@ def op6_line_dedup(spark, sf_dir):
 def op8_source_mix(spark, sf_dir):
     """Words of every document that the mix takes."""
     return mixing.fair_mix(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+
+
+@register("op7_toxicity")
+def op7_toxicity(spark, sf_dir):
+    """Toxicity score of every document."""
+    docs, labels = table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic")
+    return toxicity.judge(docs, labels).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
+@register("op10_chat_format")
+def op10_chat_format(spark, sf_dir):
+    """Digests of every conversation (and one whose texts hold control strings), read back from its tokens."""
+    turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    nasty = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", nasty), (-7, 1, "assistant", nasty)], "conv_id long, turn long, role string, text string")
+    return chat_format.read_back(chat_format.format_chats(turns.unionByName(extra)))
