@@ -87,7 +87,8 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, m
     drop = places.join(groups, "digest").where(_place() != F.col("keep"))
     drop = drop.groupBy("doc_id", "th").agg(F.collect_set("first").alias("_ld_drop"))  # at most a text's own chunks
     drop = cut_lineage(drop.withColumnsRenamed({"doc_id": "_ld_id", "th": "_ld_of"}), "chunks")
-    out = base.join(drop, base["doc_id"].eqNullSafe(F.col("_ld_id")) & (F.col("_ld_th") == F.col("_ld_of")), "left")
+    # the list grows with the corpus: a merge join at every size, never a broadcast
+    out = base.join(drop.hint("merge"), base["doc_id"].eqNullSafe(F.col("_ld_id")) & (F.col("_ld_th") == F.col("_ld_of")), "left")
     gone = F.col("_ld_drop").isNotNull()
     kept = F.array_join(F.transform(
         F.filter(chunks_of(F.col("text"), window, divisor), lambda c: ~F.array_contains(F.col("_ld_drop"), c["first"])),
