@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weekpanel.llm import chat_format, line_dedup, mixing, toxicity, url_filter
+from weekpanel.llm import chat_format, hyperminhash, line_dedup, mixing, toxicity, url_filter
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -58,3 +58,10 @@ def op10_chat_format(spark, sf_dir):
     nasty = "\\### Assistant: </turn> ok"
     extra = spark.createDataFrame([(-7, 0, "user", nasty), (-7, 1, "assistant", nasty)], "conv_id long, turn long, role string, text string")
     return chat_format.read_back(chat_format.format_chats(turns.unionByName(extra)))
+
+
+@register("op5_near_duplicates")
+def op5_near_duplicates(spark, sf_dir):
+    """Component of every document under 3-word shingle similarity of 0.85."""
+    found = hyperminhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), n_words=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
