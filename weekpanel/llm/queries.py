@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weekpanel.llm import chat_format, hyperminhash, line_dedup, mixing, toxicity, url_filter
+from weekpanel.llm import chat_format, hyperminhash, line_dedup, mixing, suffix_dedup, toxicity, url_filter
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -65,3 +65,10 @@ def op5_near_duplicates(spark, sf_dir):
     """Component of every document under 3-word shingle similarity of 0.85."""
     found = hyperminhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), n_words=3, percent=85)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@register("op4_repeated_bytes")
+def op4_repeated_bytes(spark, sf_dir):
+    """What is left of every document without strings of 400 bytes that stand elsewhere too."""
+    found = suffix_dedup.repeated_bytes(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.drop("spans")
