@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weekpanel.llm import chat_format, hyperminhash, line_dedup, mixing, suffix_dedup, toxicity, url_filter
+from weekpanel.llm import chat_format, embedding_dedup, hyperminhash, line_dedup, mixing, suffix_dedup, toxicity, url_filter
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -72,3 +72,9 @@ def op4_repeated_bytes(spark, sf_dir):
     """What is left of every document without strings of 400 bytes that stand elsewhere too."""
     found = suffix_dedup.repeated_bytes(table(spark, sf_dir, "documents", "doc_id", "text"))
     return found.drop("spans")
+
+
+@register("op2_near_vectors")
+def op2_near_vectors(spark, sf_dir):
+    """Links and component of every embedding under cosine 0.98 within its label."""
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"), least=0.98)
