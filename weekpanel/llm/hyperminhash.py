@@ -227,10 +227,11 @@ def _links(base: DataFrame, sk: DataFrame, classes: DataFrame, n_words: int, per
 
 def keep_one(docs: DataFrame, found: DataFrame) -> DataFrame:
     """The documents of ``docs`` that ``found`` keeps, one of each group: the
-    smallest doc_id, and of rows that share it the smallest text hash. Rows
-    alike in doc_id and text are one row of the result."""
-    one = found.where("kept").groupBy("component_id", F.when(F.col("n_shingles") == 0, F.struct("doc_id", "th")).alias("blank"))
-    one = one.agg(F.min("th").alias("_th")).select(F.coalesce("blank.doc_id", "component_id").alias("_id"), F.col("_th"))
-    keyed = docs.withColumn("_k", F.xxhash64("text"))
-    kept = keyed.join(one, keyed["doc_id"].eqNullSafe(one["_id"]) & (F.col("_k") == F.col("_th")), "left_semi").drop("_k")
-    return kept.dropDuplicates(["doc_id", "text"])
+    smallest doc_id, and of rows that share it the smallest text hash. Texts
+    with an empty set all stay. Rows alike in doc_id and text are one row of the result."""
+    blank = F.when(F.col("n_shingles") == 0, F.col("th"))
+    one = found.where("kept").groupBy(F.coalesce("doc_id", F.lit(LAST_ID)).alias("_i"), blank.alias("blank")).agg(F.min("th").alias("_k"))
+    keyed = docs.withColumns({"_i": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), "_k": F.xxhash64("text")})
+    # the join reuses the partitions and order of the first step
+    alike = keyed.dropDuplicates(["_i", "_k"])
+    return alike.join(one.select("_i", "_k").hint("merge"), ["_i", "_k"], "left_semi").select(*docs.columns)

@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weekpanel.llm import chat_format, embedding_dedup, hyperminhash, line_dedup, mixing, suffix_dedup, toxicity, url_filter
+from weekpanel.llm import (
+    chat_format,
+    decontam,
+    embedding_dedup,
+    hyperminhash,
+    license_scan,
+    line_dedup,
+    mixing,
+    suffix_dedup,
+    toxicity,
+    url_filter,
+)
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -78,3 +89,18 @@ def op4_repeated_bytes(spark, sf_dir):
 def op2_near_vectors(spark, sf_dir):
     """Links and component of every embedding under cosine 0.98 within its label."""
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"), least=0.98)
+
+
+@register("op1_license_scan")
+def op1_license_scan(spark, sf_dir):
+    """Licenses found in every document, with coverage and spans."""
+    marked = license_scan.mark_licenses(table(spark, sf_dir, "documents", "doc_id", "text"))
+    found = license_scan.license_matches(marked)
+    return found.withColumn("spans", F.array_join(F.transform("spans", lambda x: F.concat_ws("-", x["start"], x["end"])), " "))
+
+
+@register("op9_decontamination")
+def op9_decontamination(spark, sf_dir):
+    """Pairs of documents and the benchmark items that they hold."""
+    docs, benchmark = table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text")
+    return decontam.mark_leaks(docs, benchmark).select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
