@@ -22,7 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weekpanel.llm.components import connected_components
+from weekpanel.llm.blocks import chunk_pairs
+from weekpanel.llm.components import connected_components, smallest_reachable
 from weekpanel.session import cut_lineage
 
 BLOCKS = 8
@@ -97,20 +98,6 @@ def _first_block(r1: np.ndarray, r2: np.ndarray, budget: float, dim: int) -> np.
     return out
 
 
-def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
-    """Smallest index reachable from each of n over edges (a, b)."""
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        new = new[new]
-        if np.array_equal(new, label):
-            return label
-        label = new
-
-
 def links_in_cell(xs, ys, dim: int, block: int, least: float):
     """(left index, right index) of the linked pairs of a cell that count here.
 
@@ -155,14 +142,14 @@ def _join_cells(least: float):
         links = np.zeros(len(rows), np.int64)
         np.add.at(links, a, size[b])
         np.add.at(links, b, size[a])
-        root = _forest(a, b, len(rows))
+        root = smallest_reachable(a, b, len(rows))
         some = np.flatnonzero(links)
         return pa.RecordBatch.from_arrays([pa.array(node[some]), pa.array(links[some]), pa.array(node[root[some]])], ["node", "links", "root"])
 
     def run(batches):
         key, rows = None, []
         for batch in batches:
-            names = ("label", "dim", "block", "cell", "i", "j", "node", "size", "vec", "left", "right")
+            names = ("label", "dim", "block", "cell", "i", "j", "node", "size", "vec", "is_left", "is_right")
             for r in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
                 if r[:6] != key:
                     if len(rows) > 1:
@@ -198,19 +185,7 @@ def near_vectors(table: DataFrame, least: float = 0.98, chunk: int = CHUNK) -> D
         raise ValueError("two different vectors share a 64-bit hash; salt xxhash64 and run again")
     cells = cut_lineage(nodes.select("label", "node", "size", "embedding").mapInArrow(_emit(least), CELLS), "cells")
     key = ["label", "dim", "block", "cell"]
-    large = cells.groupBy(*key).agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > chunk)
-    large = cut_lineage(large.select(*key, F.ceil(F.col("c") / chunk).cast("int").alias("k")), "large")
-    none = F.lit(0)
-    one = cells.withColumns({"i": none, "j": none, "left": F.col("home"), "right": F.lit(True)})
-    if not large.isEmpty():
-        cut = cells.join(large, key).withColumn("mine", F.pmod(F.xxhash64("node", F.lit(7)), F.col("k")).cast("int"))
-        every = F.sequence(F.lit(0), F.col("k") - 1)
-        as_left = F.when(F.col("home"), F.transform(every, lambda o: F.struct(F.col("mine").alias("i"), o.alias("j"), F.lit(True).alias("left"), (o == F.col("mine")).alias("right"))))
-        as_right = F.transform(F.filter(every, lambda o: (o != F.col("mine")) | ~F.col("home")),
-                               lambda o: F.struct(o.alias("i"), F.col("mine").alias("j"), F.lit(False).alias("left"), F.lit(True).alias("right")))
-        cut = cut.withColumn("p", F.explode(F.concat(F.coalesce(as_left, F.array().cast("array<struct<i:int,j:int,left:boolean,right:boolean>>")), as_right)))
-        one = one.join(large.select(*key), key, "left_anti").select(*cells.columns, "i", "j", "left", "right")
-        one = one.unionByName(cut.select(*cells.columns, "p.i", "p.j", "p.left", "p.right"))
+    one = chunk_pairs(cells, key, "node", "home", chunk)
     group = [*key, "i", "j"]
     met = one.repartition(*group).sortWithinPartitions(*group).mapInArrow(_join_cells(least), "node long, links long, root long")
     met = cut_lineage(met, "met")

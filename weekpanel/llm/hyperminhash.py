@@ -8,10 +8,12 @@ candidate pairs, the collision-corrected estimate thins them, and links are
 confirmed on the full shingle sets.
 
 Equal sets form a class and only classes are compared. In each band bucket all
-members are first compared with one pivot. After components are built, only
-members outside a bucket's largest component are compared with the members of
-other components, so a group of near copies costs about one comparison per
-member and no candidate pair between different components is left out."""
+members are first compared with one pivot. Buckets that the components of these
+links still split are then settled exactly inside tasks: members outside the
+largest component meet all others of their bucket, chunk by chunk, as products
+of 0/1 shingle matrices. A task returns a spanning forest of the links it
+finds, so no group is ever written out as pairs and no candidate pair between
+different components is left out."""
 
 from __future__ import annotations
 
@@ -23,8 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weekpanel.llm.components import connected_components
-from weekpanel.llm.hashing import U, mix, shingles, text_views, word_hashes
+from weekpanel.llm.blocks import chunk_pairs
+from weekpanel.llm.components import connected_components, smallest_reachable
+from weekpanel.llm.hashing import U, mix, pack_texts, shingles, text_views, unpack, word_hashes
 from weekpanel.session import cut_lineage
 
 P_BITS, MANTISSA = 8, 10
@@ -32,6 +35,8 @@ BUCKETS = 1 << P_BITS
 ROWS, BANDS = 7, 36  # a pair at similarity 0.85 misses all bands once in a million
 TOP = 11  # texts with 2**TOP shingles or more use one salt
 EMPTY = 0xFFFF
+CHUNK = 512  # members of a split bucket that meet in one task
+COLUMNS = 8192  # shingles of a matrix product
 LAST_ID = (1 << 63) - 1
 _KEYS = mix(np.arange(5001, 5001 + (1 << TOP) * 2, dtype=U))
 
@@ -138,7 +143,7 @@ def _confirm(n_words: int, percent: int):
         last, s_last = None, None
         for batch in batches:
             ok = []
-            for b, va, vb in zip(batch.column("b").to_pylist(), text_views(batch.column("ta")), text_views(batch.column("tb")), strict=True):
+            for b, va, vb in zip(batch.column("b").to_pylist(), unpack(batch.column("ta")), unpack(batch.column("tb")), strict=True):
                 if b != last:
                     last, s_last = b, text_shingles(vb, n_words)
                 s = text_shingles(va, n_words)
@@ -149,6 +154,65 @@ def _confirm(n_words: int, percent: int):
     return run
 
 
+def common_counts(left: list, right: list) -> np.ndarray:
+    """Sizes of the intersections of two lists of sorted distinct arrays."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    lv, rv = np.concatenate(left), np.concatenate(right)
+    shared = np.intersect1d(lv, rv)
+    li, ri = np.repeat(np.arange(len(left)), [len(x) for x in left]), np.repeat(np.arange(len(right)), [len(x) for x in right])
+
+    def cells(values, rows):
+        at = np.searchsorted(shared, values)
+        ok = shared[np.minimum(at, len(shared) - 1)] == values
+        order = np.argsort(at[ok], kind="stable")
+        return at[ok][order], rows[ok][order]
+
+    if not len(shared):
+        return out
+    (la, lr), (ra, rr) = cells(lv, li), cells(rv, ri)
+    for lo in range(0, len(shared), COLUMNS):
+        product = []
+        for at, rows, n in ((la, lr, len(left)), (ra, rr, len(right))):
+            x, y = np.searchsorted(at, (lo, lo + COLUMNS))
+            m = np.zeros((n, min(COLUMNS, len(shared) - lo)), np.float32)
+            m[rows[x:y], at[x:y] - lo] = 1
+            product.append(m)
+        out += product[0] @ product[1].T
+    return out
+
+
+def _settle(n_words: int, percent: int):
+    """Rows sorted by bucket and chunk pair in, spanning forests of the links between components out."""
+
+    def resolve(rows):
+        th, comp = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+        sets = [text_shingles(v, n_words) for v in unpack(r[2] for r in rows)]
+        size = np.array([len(s) for s in sets])
+        x, y = np.flatnonzero([r[3] for r in rows]), np.flatnonzero([r[4] for r in rows])
+        if not len(x) or not len(y):
+            return None
+        both = common_counts([sets[i] for i in x], [sets[i] for i in y])
+        linked = (100 * both >= percent * (size[x][:, None] + size[y][None, :] - both)) & (comp[x][:, None] != comp[y][None, :])
+        a, b = np.nonzero(linked)
+        root = smallest_reachable(x[a], y[b], len(rows))
+        far = np.flatnonzero(root != np.arange(len(rows)))
+        return pa.RecordBatch.from_arrays([pa.array(th[far]), pa.array(th[root[far]])], ["a", "b"]) if len(far) else None
+
+    def run(batches):
+        key, rows = None, []
+        for batch in batches:
+            for r in zip(*(batch.column(c).to_pylist() for c in ("key", "i", "j", "th", "component", "z", "is_left", "is_right")), strict=True):
+                if r[:3] != key:
+                    if len(rows) > 1 and (found := resolve(rows)):
+                        yield found
+                    key, rows = r[:3], []
+                rows.append(r[3:])
+        if len(rows) > 1 and (found := resolve(rows)):
+            yield found
+
+    return run
+
+
 def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, th, n_shingles, component_id, kept), a row per document.
 
@@ -198,31 +262,26 @@ def _links(base: DataFrame, sk: DataFrame, classes: DataFrame, n_words: int, per
         return None
     # the texts of all candidates, one per class
     ids = reps.join(members.select("th").distinct(), "th", "left_semi").select("id", "th").distinct()
-    texts = cut_lineage(base.join(ids.hint("merge"), ["id", "th"], "left_semi").dropDuplicates(["th"]).select("th", "text"), "texts")
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        side = lambda x, o: reps.select(F.col("th").alias(x), F.col("n").alias(f"n{x}"), "level", F.col("regs").alias(f"r{x}"))
-        both = pairs.hint("merge").join(side("a", "b"), "a").hint("merge").join(side("b", "a"), ["b", "level"])
-        both = both.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-        likely = both.select("a", "b", "na", "nb", "level", "ra", "rb").mapInArrow(_likely(percent), "a long, b long").distinct()
-        text = lambda x: texts.select(F.col("th").alias(x), F.col("text").alias(f"t{x}"))
-        full = likely.hint("merge").join(text("a"), "a").hint("merge").join(text("b"), "b").select("a", "b", "ta", "tb")
-        return cut_lineage(full.mapInArrow(_confirm(n_words, percent), "a long, b long"), "links")
-
-    links = confirmed(pairs)
-    # second round: candidates between different components that no pivot has joined
+    texts = base.join(ids.hint("merge"), ["id", "th"], "left_semi").select("th", "text").mapInArrow(pack_texts, "th long, z binary")
+    texts = cut_lineage(texts.dropDuplicates(["th"]), "texts")
+    regs = lambda x: reps.select(F.col("th").alias(x), F.col("n").alias(f"n{x}"), "level", F.col("regs").alias(f"r{x}"))
+    both = pairs.hint("merge").join(regs("a"), "a").hint("merge").join(regs("b"), ["b", "level"])
+    both = both.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    likely = both.select("a", "b", "na", "nb", "level", "ra", "rb").mapInArrow(_likely(percent), "a long, b long").distinct()
+    text = lambda x: texts.select(F.col("th").alias(x), F.col("z").alias(f"t{x}"))
+    full = likely.hint("merge").join(text("a"), "a").hint("merge").join(text("b"), "b").select("a", "b", "ta", "tb")
+    links = cut_lineage(full.mapInArrow(_confirm(n_words, percent), "a long, b long"), "links")
+    # buckets with members of different components; their pivots have met all members
     comp = connected_components(links).withColumnRenamed("node", "th")
     m = members.join(comp, "th", "left").withColumn("component", F.coalesce("component", "th"))
     sizes = m.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
-    split = sizes.groupBy("key").agg(F.max_by("component", F.struct("c", "component")).alias("large"), F.count(F.lit(1)).alias("k")).where("k > 1")
-    m = cut_lineage(m.join(split.drop("k"), "key").where("th != pivot").drop("pivot"), "open")
-    x = m.where("component != large").select("key", F.col("th").alias("x"), F.col("component").alias("cx"))
-    y = m.select("key", F.col("th").alias("y"), F.col("component").alias("cy"), "large")
-    more = x.join(y, "key").where((F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("large")) | (F.col("x") < F.col("y"))))
-    more = more.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    tested = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = cut_lineage(more.join(tested, ["a", "b"], "left_anti"), "pairs")
-    return links if more.isEmpty() else links.unionByName(confirmed(more))
+    split = sizes.groupBy("key").agg(F.max_by("component", F.struct("c", "component")).alias("large"), F.count(F.lit(1)).alias("k"), F.sum("c").alias("c"))
+    split = split.where("k > 1 and c > 2").select("key", "large")
+    split = m.join(split, "key").where("th != pivot").select("key", "th", "component", (F.col("component") != F.col("large")).alias("x"))
+    split = cut_lineage(split, "split")
+    met = chunk_pairs(split, ["key"], "th", "x", CHUNK).join(texts.hint("merge"), "th")
+    met = met.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_settle(n_words, percent), "a long, b long")
+    return links.unionByName(cut_lineage(met, "links"))
 
 
 def keep_one(docs: DataFrame, found: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weekpanel.llm.hashing import U, mix, prefix_sums, substring_hashes, text_views
+from weekpanel.llm.hashing import U, mix, pack_texts, prefix_sums, substring_hashes, text_views, unpack
 from weekpanel.session import cut_lineage
 
 LENGTH = 400
@@ -131,29 +131,12 @@ def _interval_batch(ids, ths, rows, doc):
         ["id", "th", "name", "ctx", "occ", "a", "n", "spans"])
 
 
-def _pack(batches):
-    """Texts as compressed bytes, to halve what is shuffled."""
-    import zstandard
-
-    z = zstandard.ZstdCompressor(level=1)
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), batch.column("th"), pa.array([z.compress(v.tobytes()) for v in text_views(batch.column("text"))], pa.binary())], ["id", "th", "z"])
-
-
-def _unpack(column):
-    import zstandard
-
-    z = zstandard.ZstdDecompressor()
-    return (np.frombuffer(z.decompress(x), np.uint8) for x in column.to_pylist())
-
-
 def _cut_contexts(length: int):
     def run(batches):
         for batch in batches:
             out: list = [[] for _ in range(7)]
             size = 0
-            for i, (b, wanted) in enumerate(zip(_unpack(batch.column("z")), batch.column("wanted").to_pylist(), strict=True)):
+            for i, (b, wanted) in enumerate(zip(unpack(batch.column("z")), batch.column("wanted").to_pylist(), strict=True)):
                 for w in wanted:
                     body = b[w["a"] : w["a"] + w["n"] - 1 + length].tobytes()
                     size += len(body)
@@ -267,7 +250,7 @@ def _finish(length: int):
     def run(batches):
         for batch in batches:
             rows: list = [[] for _ in range(6)]
-            for i, (b, found) in enumerate(zip(_unpack(batch.column("z")), batch.column("found").to_pylist(), strict=True)):
+            for i, (b, found) in enumerate(zip(unpack(batch.column("z")), batch.column("found").to_pylist(), strict=True)):
                 spans = []
                 kept = b
                 if found:
@@ -316,7 +299,7 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, larg
     # the bytes of the distinct contexts
     wanted = contexts.select("r.id", "r.th", F.struct("name", "r.a", "r.n", (F.col("c") == 1).alias("alone")).alias("w"))
     wanted = wanted.groupBy("id", "th").agg(F.collect_list("w").alias("wanted"))
-    packed = lambda: base.mapInArrow(_pack, "id long, th long, z binary")
+    packed = lambda: base.mapInArrow(pack_texts, "id long, th long, z binary")
     bodies = packed().dropDuplicates(["id", "th"]).join(wanted.hint("merge"), ["id", "th"]).select("id", "th", "z", "wanted")
     bodies = bodies.mapInArrow(_cut_contexts(length), CONTEXTS)
     big = cut_lineage(contexts.groupBy("name").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > large).select("name"), "large")
