@@ -79,25 +79,30 @@ def test_target_calendar_wraps(spark):
     assert max(r.week for r in cal) == 52
 
 
-def test_tree_shap_additivity(spark):
+def test_tree_shap_additivity(spark, tmp_path):
+    """Many regions (so one-hot splits are categorical), every row, every kind of tree."""
+    import numpy as np
+
     from weekpanel.operators import classify as CF
     from weekpanel.params import Params
-    from weekpanel.plans.master import build_master
-    from tests.fixtures import raw_cases
-
-    m = build_master(raw_cases(spark), Params(min_history_weeks=10))
-    fr = CF.modeling_frame(m).cache()
-    for name, p in (("decision_tree", Params(tree_depth=4, tree_min_leaf=5)), ("random_forest", Params(rf_trees=3, rf_depth=3, rf_min_leaf=5))):
-        model = CF.fit(fr, name, p, balanced=False)
-        import tempfile
-
-        phi = CF.tree_shap_values(model, fr, tempfile.mkdtemp(prefix="wp-tree-"), 20, 1).collect()
-        expected = [r.phi for r in phi if r.feature == "_expected"][0]
-        sums = {}
-        for r in phi:
-            if r.feature != "_expected":
-                sums[(r.unit_id, r.week_id)] = sums.get((r.unit_id, r.week_id), 0.0) + r.phi
-        scored = {(r.unit_id, r.week_id): r.proba for r in CF.score(model, fr, name).collect()}
-        assert sums
-        for k, s in sums.items():
-            assert abs(expected + s - scored[k]) < 1e-6, (name, k)
+    from weekpanel.schema import FEATURE_NUMERIC
+
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(600):
+        x = [float(v) for v in rng.normal(size=len(FEATURE_NUMERIC)).round(3)]
+        r = int(rng.integers(0, 9))
+        rows.append((f"u{i % 20}", i, "train" if i % 3 else "test", *x, f"region {r}", int(x[0] + (r in (2, 5)) - (r == 7) + rng.normal() * 0.3 > 0.4)))
+    cols = "unit_id string, week_id long, split string, " + ", ".join(f"{c} double" for c in FEATURE_NUMERIC) + ", region string, y int"
+    fr = spark.createDataFrame(rows, cols)
+    small = Params(tree_depth=7, tree_min_leaf=2, rf_trees=4, rf_depth=6, rf_min_leaf=2, boost_rounds=4)
+    for name in ("decision_tree", "random_forest", "xgboost", "gradient_boosting"):
+        model = CF.fit(fr, name, small)
+        boosted = name in ("xgboost", "gradient_boosting")
+        phi = CF.tree_shap_values(model, fr, f"{tmp_path}/{name}").toPandas()
+        assert (phi.feature.str.startswith("region")).any()
+        expected = phi[phi.feature == "_expected"].phi.iloc[0]
+        sums = phi[phi.feature != "_expected"].groupby("week_id").phi.sum().reindex(range(600), fill_value=0.0)
+        proba = CF.score(model, fr, name).toPandas().set_index("week_id").proba.sort_index()
+        want = np.log(proba / (1 - proba)) / 2 if boosted else proba
+        assert np.abs(expected + sums - want).max() < 1e-6, name

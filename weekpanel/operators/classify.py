@@ -5,13 +5,16 @@ standardised, region one-hot encoded with unseen / missing regions encoded as
 all zeros. Five classifiers: random forest, two gradient-boosted tree models
 (positive-class weight and balanced class weight; Spark has no third-party
 booster, GBT stands in for both), logistic regression and a decision tree.
-Training is distributed by pyspark.ml; nothing is collected."""
+Training is distributed by pyspark.ml; only fitted models reach the driver."""
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
+    GBTClassificationModel,
     GBTClassifier,
     LogisticRegression,
     RandomForestClassifier,
@@ -57,8 +60,9 @@ def estimator(name: str, params: Params = DEFAULT, weight_col: str | None = None
         return GBTClassifier(maxIter=params.boost_rounds, stepSize=params.boost_rate, maxDepth=3 if name == "gradient_boosting" else 6,
                              seed=params.seed, **common)
     if name == "logistic_regression":
-        # L2 strength 1 / n on the mean loss (C = 1 on the summed loss)
-        return LogisticRegression(maxIter=1000, regParam=1.0 / max(n_train or 1, 1), elasticNetParam=0.0, **common)
+        # L2 strength 1 / n on the mean loss (C = 1 on the summed loss), on the inputs as they stand
+        return LogisticRegression(maxIter=1000, regParam=1.0 / max(n_train or 1, 1), elasticNetParam=0.0,
+                                  standardization=False, **common)
     if name == "decision_tree":
         return DecisionTreeClassifier(maxDepth=params.tree_depth, minInstancesPerNode=params.tree_min_leaf,
                                       seed=params.seed, **common)
@@ -127,35 +131,46 @@ def global_importance(phi: DataFrame) -> DataFrame:
     return phi.groupBy("feature").agg(F.avg(F.abs("phi")).alias("mean_abs_phi"))
 
 
-def tree_nodes(model: PipelineModel, path: str) -> DataFrame:
-    """Node table of the fitted tree classifier (saved under ``path``)."""
-    clf = model.stages[-1]
-    clf.write().overwrite().save(path)
+def tree_table(model: PipelineModel, path: str):
+    """Trees of a fitted tree classifier: the model is saved under ``path`` and
+    its node table, whose size is the model's, is read back."""
     from pyspark.sql import SparkSession
 
-    data = SparkSession.getActiveSession().read.parquet(f"{path.rstrip('/')}/data")
+    from weekpanel.operators.treeshap import trees_of
+
+    clf = model.stages[-1]
+    clf.write().overwrite().save(path)
+    spark = SparkSession.getActiveSession()
+    data = spark.read.parquet(f"{path.rstrip('/')}/data")
     if "nodeData" in data.columns:
         data = data.select("treeID", "nodeData.*")
-    return data
+    boosted = isinstance(clf, GBTClassificationModel)
+    weights = dict(enumerate(clf.treeWeights)) if boosted else None
+    return trees_of(data.toPandas(), boosted, weights)
 
 
-def tree_shap_values(model: PipelineModel, frame: DataFrame, path: str, n: int = 400, seed: int = 42) -> DataFrame:
-    """Tree SHAP (class-1 probability) for a stable sample of ``n`` rows of
-    ``frame``: (unit_id, week_id, feature, phi) plus the model's expected value
-    as feature '_expected' on row (-1, -1)."""
-    from weekpanel.operators.eda import stable_sample
-    from weekpanel.operators.treeshap import tree_shap
+def tree_shap_values(model: PipelineModel, frame: DataFrame, path: str) -> DataFrame:
+    """Tree SHAP of every row of ``frame``: (unit_id, week_id, feature, phi),
+    nonzero contributions only, plus the expected value as feature '_expected'
+    on a row without keys. Trees and forests are explained in class-1
+    probability, boosted trees in their margin."""
+    from weekpanel.operators.treeshap import expected_value, explain_rows
 
-    prep = PipelineModel(stages=model.stages[:-1])
-    sample = stable_sample(frame, ["unit_id", "week_id"], n, seed)
-    feats = prep.transform(sample).select("unit_id", "week_id", vector_to_array("features").alias("x"))
-    pdf = feats.toPandas()  # bounded: the explainer sample (n rows x features)
-    pdf["row"] = range(len(pdf))
-    names = feature_names(model)
-    phi = tree_shap(tree_nodes(model, path), pdf[["row", "x"]], len(names), names)
+    trees, names = tree_table(model, path), feature_names(model)
     spark = frame.sparkSession
-    keys = spark.createDataFrame(
-        [(int(r), u, int(w)) for r, u, w in zip(pdf["row"], pdf["unit_id"], pdf["week_id"])] + [(-1, None, None)],
-        "row long, unit_id string, week_id long",
-    )
-    return phi.join(keys, "row").select("unit_id", "week_id", "feature", "phi")
+    sent = spark.sparkContext.broadcast(trees)  # bounded by the model
+    prep = PipelineModel(stages=model.stages[:-1])
+    feats = prep.transform(frame).select("unit_id", "week_id", vector_to_array("features").alias("x"))
+
+    def explain(batches):
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            phi = explain_rows(sent.value, np.stack(pdf["x"].to_numpy()))
+            r, f = np.nonzero(phi)
+            yield pd.DataFrame({"unit_id": pdf["unit_id"].to_numpy()[r], "week_id": pdf["week_id"].to_numpy()[r],
+                                "feature": np.array(names, object)[f], "phi": phi[r, f]})
+
+    schema = "unit_id string, week_id long, feature string, phi double"
+    base = float(sum(expected_value(t) for t in trees))
+    return feats.mapInPandas(explain, schema).unionByName(spark.createDataFrame([(None, None, "_expected", base)], schema))

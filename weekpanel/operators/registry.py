@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weekpanel.schema import REGISTRY_KEYS
+from weekpanel.session import cut_lineage
 
 _LOW = (1 << 33) - 1
 
@@ -26,18 +27,20 @@ def declared_columns(batch: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def dense_index(df: DataFrame, order: list[str | Column]) -> DataFrame:
-    """Adds ``_idx`` = 1..n following ``order`` (ties broken by every column),
-    computed with a range-partitioned sort and per-partition offsets."""
+    """Adds ``_idx`` = 1..n following ``order`` (ties broken by every column).
+
+    The range-sorted rows are written once with their partition number and place. Counts and rows
+    are both read from that one table, so they agree whatever the planner does
+    with partitions in between."""
     orderable = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType))]
-    sorted_df = df.orderBy(*order, *[F.col(f"`{c}`") for c in orderable])
     mid = F.monotonically_increasing_id()
-    t = sorted_df.withColumn("_mid", mid)
+    t = df.orderBy(*order, *[F.col(f"`{c}`") for c in orderable]).withColumn("_mid", mid)
+    t = cut_lineage(t, "ordered")
     t = t.withColumn("_part", F.shiftright("_mid", 33)).withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(_LOW)))
     counts = t.groupBy("_part").agg(F.count(F.lit(1)).alias("_cnt"))
     # one row per partition: a global window over it is tiny
-    offs = counts.withColumn(
-        "_off", F.coalesce(F.sum("_cnt").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ).select("_part", "_off")
+    offs = counts.select("_part", F.coalesce(
+        F.sum("_cnt").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
     return t.join(F.broadcast(offs), "_part").withColumn("_idx", F.col("_off") + F.col("_pos") + 1).drop(
         "_mid", "_part", "_pos", "_off"
     )
@@ -67,18 +70,26 @@ def list_all(table: DataFrame) -> DataFrame:
 
 def update(table: DataFrame, changes: DataFrame, schema: T.StructType, stamp) -> DataFrame:
     """Overlay the given fields of each (id, fields...) change row and bump
-    updated_at; other rows untouched; unknown ids change nothing. A column
-    present in the batch is applied as given, NULL included."""
-    fields = [c for c in declared_columns(changes, schema).columns]
-    ch = changes.select(F.col("id").alias("_cid"), *[F.col(f"`{c}`").cast(schema[c].dataType).alias(f"_new_{c}") for c in fields])
-    ch = ch.withColumn("_hit", F.lit(True))
-    j = table.join(ch, table.id == ch._cid, "left")
+    updated_at; other rows untouched; unknown ids change nothing.
+
+    A change row gives the fields that are not null; to give a null, list the
+    fields given in an array column ``given`` (it then decides alone). Several change rows
+    of one id must agree on no field twice: their given fields are merged, and
+    a field given twice keeps the largest value, so the result has one row per id."""
+    fields = declared_columns(changes, schema).columns
+    is_given = (lambda c: F.array_contains("given", c)) if "given" in changes.columns else (lambda c: F.col(f"`{c}`").isNotNull())
+    one = changes.where("id is not null").groupBy(F.col("id").alias("_cid")).agg(
+        F.lit(True).alias("_hit"),
+        *[F.max(F.when(is_given(c), F.col(f"`{c}`").cast(schema[c].dataType))).alias(f"_new_{c}") for c in fields if not isinstance(schema[c].dataType, T.MapType)],
+        *[F.max_by(F.col(f"`{c}`").cast(schema[c].dataType), F.when(is_given(c), F.lit(1))).alias(f"_new_{c}") for c in fields if isinstance(schema[c].dataType, T.MapType)],
+        *[F.coalesce(F.bool_or(is_given(c)), F.lit(False)).alias(f"_given_{c}") for c in fields])
+    j = table.join(one, table.id == F.col("_cid"), "left")
     hit = F.coalesce(F.col("_hit"), F.lit(False))
     cols = []
     for f in schema.fields:
         c = f.name
         if c in fields:
-            cols.append(F.when(hit, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c))
+            cols.append(F.when(F.coalesce(F.col(f"_given_{c}"), F.lit(False)), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c))
         elif c == "updated_at":
             cols.append(F.when(hit, F.lit(stamp).cast("timestamp")).otherwise(F.col(c)).alias(c))
         else:
@@ -105,12 +116,15 @@ def parse_json_map(text: Column, value_type: str = "double") -> Column:
 
 
 def json_roundtrip(df: DataFrame, col: str) -> DataFrame:
-    """Parse a JSON text column into a map and serialise it back; text that
-    does not parse is kept as it was."""
-    parsed = parse_json_map(F.col(col))
-    return df.withColumn(f"{col}_map", parsed).withColumn(
-        f"{col}_text", F.when(parsed.isNotNull(), F.to_json(parsed)).otherwise(F.col(col))
-    )
+    """Parse a JSON text column into a map and serialise it back.
+
+    An object of numbers becomes a map of doubles and their text; any other object keeps its values as they
+    stand (text, nested and mixed values included) in ``<col>_any``, a map of
+    strings; text that is no object is kept as it was."""
+    numbers = parse_json_map(F.col(col))
+    anything = parse_json_map(F.col(col), "string")
+    return df.withColumn(f"{col}_map", numbers).withColumn(f"{col}_any", anything).withColumn(
+        f"{col}_text", F.when(numbers.isNotNull(), F.to_json(numbers)).otherwise(F.col(col)))
 
 
 def registry_kpis(table: DataFrame) -> DataFrame:

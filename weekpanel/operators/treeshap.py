@@ -1,140 +1,128 @@
-"""Path-dependent TreeSHAP for pyspark.ml tree models.
+"""Path-dependent TreeSHAP for pyspark.ml tree models, vectorised over rows.
 
-The fitted model is saved to the shared checkpoint folder; its node table
-(``data/``: tree id, node id, children, split feature/threshold, impurity
-statistics) is read back as a DataFrame and every tree is explained in its
-own ``groupBy(treeID).applyInPandas`` task against a bounded sample of rows
-(the explainer sample, 400 rows by default). Per-tree contributions are then
-summed per (row, feature) in Spark and scaled by the ensemble weight.
+The fitted model's node table (its size is the model's, not the data's) goes
+to every task; rows are explained in Arrow batches where they are. For one
+leaf the contribution of a path feature depends only on which of the path's
+features a row follows, so it is computed once per distinct pattern in the
+batch and looked up for the rows.
 
-Output space: class-1 probability for forests and single trees (leaf value =
-class-1 share of the leaf's impurity statistics, forests average trees).
-Additivity holds per row: expected value + sum(phi) = model output."""
+Output space: class-1 probability for single trees and forests (mean of the
+trees), the margin (weighted sum of the trees) for boosted trees. Per row
+``expected + sum(phi)`` equals the model's output in that space."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from math import factorial
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-
-def _tree_arrays(nodes: pd.DataFrame):
-    nodes = nodes.sort_values("id")
-    ids = nodes["id"].to_numpy()
-    pos = {int(i): k for k, i in enumerate(ids)}
-    n = len(ids)
-    left = np.full(n, -1)
-    right = np.full(n, -1)
-    feat = np.full(n, -1)
-    thr = np.zeros(n)
-    value = np.zeros(n)
-    cover = np.zeros(n)
-    for k, r in enumerate(nodes.itertuples(index=False)):
-        stats = np.asarray(r.impurityStats, dtype=float)
-        tot = stats.sum()
-        cover[k] = tot
-        value[k] = stats[1] / tot if tot > 0 and len(stats) > 1 else 0.0
-        if r.leftChild >= 0:
-            left[k] = pos[int(r.leftChild)]
-            right[k] = pos[int(r.rightChild)]
-            feat[k] = int(r.split["featureIndex"])
-            thr[k] = float(r.split["leftCategoriesOrThreshold"][0])
-    root = pos[int(nodes["id"].min())]
-    return root, left, right, feat, thr, value, cover
-
-
-def _shap_one(x, root, left, right, feat, thr, value, cover, n_features):
-    phi = np.zeros(n_features)
-
-    def extend(path, pz, po, pi):
-        path = [list(e) for e in path] + [[pi, pz, po, 1.0 if not path else 0.0]]
-        ln = len(path) - 1
-        for i in range(ln - 1, -1, -1):
-            path[i + 1][3] += po * path[i][3] * (i + 1) / (ln + 1)
-            path[i][3] = pz * path[i][3] * (ln - i) / (ln + 1)
-        return path
-
-    def unwind(path, i):
-        path = [list(e) for e in path]
-        ln = len(path) - 1
-        po, pz = path[i][2], path[i][1]
-        nxt = path[ln][3]
-        for j in range(ln - 1, -1, -1):
-            if po != 0:
-                tmp = path[j][3]
-                path[j][3] = nxt * (ln + 1) / ((j + 1) * po)
-                nxt = tmp - path[j][3] * pz * (ln - j) / (ln + 1)
-            else:
-                path[j][3] = path[j][3] * (ln + 1) / (pz * (ln - j))
-        for j in range(i, ln):
-            path[j][0], path[j][1], path[j][2] = path[j + 1][0], path[j + 1][1], path[j + 1][2]
-        return path[:ln]
-
-    def unwound_sum(path, i):
-        ln = len(path) - 1
-        po, pz = path[i][2], path[i][1]
-        total = 0.0
-        nxt = path[ln][3]
-        for j in range(ln - 1, -1, -1):
-            if po != 0:
-                tmp = nxt * (ln + 1) / ((j + 1) * po)
-                total += tmp
-                nxt = path[j][3] - tmp * pz * (ln - j) / (ln + 1)
-            else:
-                total += path[j][3] / pz / ((ln - j) / (ln + 1))
-        return total
-
-    def recurse(j, path, pz, po, pi):
-        path = extend(path, pz, po, pi)
-        if left[j] < 0:
-            for i in range(1, len(path)):
-                w = unwound_sum(path, i)
-                phi[path[i][0]] += w * (path[i][2] - path[i][1]) * value[j]
+
+
+@dataclass
+class Tree:
+    left: np.ndarray
+    right: np.ndarray
+    feature: np.ndarray
+    threshold: np.ndarray  # of continuous splits
+    categories: list  # of categorical splits: the values that go left, else None
+    value: np.ndarray
+    cover: np.ndarray
+    weight: float
+
+    def goes_left(self, node: int, x: np.ndarray) -> np.ndarray:
+        """Which rows go left at a split."""
+        v = x[:, self.feature[node]]
+        some = self.categories[node]
+        return v <= self.threshold[node] if some is None else np.isin(v, some)
+
+
+def trees_of(nodes: pd.DataFrame, boosted: bool, weights: dict | None = None) -> list[Tree]:
+    """Trees of a node table (treeID, id, prediction, impurityStats, leftChild, rightChild, split)."""
+    if "treeID" not in nodes:
+        nodes = nodes.assign(treeID=0)
+    out = []
+    n_trees = nodes["treeID"].nunique()
+    for tid, t in nodes.groupby("treeID"):
+        t = t.sort_values("id")
+        pos = {int(i): k for k, i in enumerate(t["id"])}
+        n = len(t)
+        tree = Tree(np.full(n, -1), np.full(n, -1), np.full(n, -1), np.zeros(n), [None] * n, np.zeros(n), np.zeros(n),
+                    (weights or {}).get(int(tid), 1.0) if boosted else 1.0 / n_trees)
+        for k, r in enumerate(t.itertuples(index=False)):
+            stats = np.asarray(r.impurityStats, float)
+            # classification keeps weights per class; regression keeps (weight, sum, sum of squares)
+            tree.cover[k] = stats[0] if boosted else stats.sum()
+            tree.value[k] = r.prediction if boosted else stats[1] / stats.sum()
+            if r.leftChild >= 0:
+                tree.left[k], tree.right[k] = pos[int(r.leftChild)], pos[int(r.rightChild)]
+                tree.feature[k] = int(r.split["featureIndex"])
+                values = np.asarray(r.split["leftCategoriesOrThreshold"], float)
+                if int(r.split["numCategories"]) < 0:
+                    tree.threshold[k] = values[0]
+                else:
+                    tree.categories[k] = values
+        out.append(tree)
+    return out
+
+
+def expected_value(tree: Tree) -> float:
+    def ev(j):
+        if tree.left[j] < 0:
+            return tree.value[j]
+        a, b = tree.left[j], tree.right[j]
+        return (tree.cover[a] * ev(a) + tree.cover[b] * ev(b)) / tree.cover[j]
+
+    return tree.weight * ev(0)
+
+
+def _shapley(z: np.ndarray, o: np.ndarray) -> np.ndarray:
+    """Contribution of each of d players to prod(z_i or o_i), for patterns o (p x d)."""
+    p, d = o.shape
+    share = np.array([factorial(k) * factorial(d - 1 - k) / factorial(d) for k in range(d)])
+    out = np.zeros((p, d))
+    for j in range(d):
+        poly = np.zeros((p, d))  # by the number of players that follow
+        poly[:, 0] = 1.0
+        for i in range(d):
+            if i != j:
+                poly[:, 1:] = poly[:, 1:] * z[i] + poly[:, :-1] * o[:, i : i + 1]
+                poly[:, 0] *= z[i]
+        out[:, j] = (poly @ share) * (o[:, j] - z[j])
+    return out
+
+
+def tree_phi(tree: Tree, x: np.ndarray) -> np.ndarray:
+    """Contributions (rows x features) of one weighted tree."""
+    phi = np.zeros(x.shape)
+
+    def walk(node, path):
+        if tree.left[node] < 0:
+            if path:
+                names = list(path)
+                z = np.array([path[f][0] for f in names])
+                follows = np.stack([path[f][1] for f in names], axis=1)
+                patterns, which = np.unique(follows, axis=0, return_inverse=True) if len(names) > 60 else _patterns(follows)
+                phi[:, names] += (_shapley(z, patterns.astype(float)) * (tree.value[node] * tree.weight))[which]
             return
-        d = feat[j]
-        hot, cold = (left[j], right[j]) if x[d] <= thr[j] else (right[j], left[j])
-        iz = io = 1.0
-        k = next((i for i in range(1, len(path)) if path[i][0] == d), None)
-        if k is not None:
-            iz, io = path[k][1], path[k][2]
-            path = unwind(path, k)
-        recurse(hot, path, iz * cover[hot] / cover[j], io, d)
-        recurse(cold, path, iz * cover[cold] / cover[j], 0.0, d)
-
-    recurse(root, [], 1.0, 1.0, -1)
+        f, left = int(tree.feature[node]), tree.goes_left(node, x)
+        for child, rows in ((tree.left[node], left), (tree.right[node], ~left)):
+            ratio = tree.cover[child] / tree.cover[node]
+            z, o = path.get(f, (1.0, np.ones(len(x), bool)))
+            walk(child, {**path, f: (z * ratio, o & rows)})
+
+    walk(0, {})
     return phi
 
 
-def _expected(root, left, right, value, cover):
-    def ev(j):
-        if left[j] < 0:
-            return value[j]
-        return (cover[left[j]] * ev(left[j]) + cover[right[j]] * ev(right[j])) / cover[j]
-
-    return ev(root)
-
-
-def tree_shap(nodes: DataFrame, sample: pd.DataFrame, n_features: int, feature_names: list[str]) -> DataFrame:
-    """nodes: model node table (treeID, id, leftChild, rightChild, split,
-    impurityStats); sample: pandas frame with ``row`` and ``x`` (feature
-    vector as list), bounded in size. Returns (row, feature, phi) summed over
-    trees and the expected value per tree as feature '_expected'."""
-    if "treeID" not in nodes.columns:
-        nodes = nodes.withColumn("treeID", F.lit(0))
-    xs = np.stack([np.asarray(v, dtype=float) for v in sample["x"]]) if len(sample) else np.zeros((0, n_features))
-    rows = sample["row"].to_numpy()
-
-    def per_tree(pdf: pd.DataFrame) -> pd.DataFrame:
-        root, left, right, feat, thr, value, cover = _tree_arrays(pdf)
-        out = []
-        for r, x in zip(rows, xs):
-            phi = _shap_one(x, root, left, right, feat, thr, value, cover, n_features)
-            for f in np.flatnonzero(phi):
-                out.append((int(r), feature_names[f], float(phi[f])))
-        out.append((-1, "_expected", float(_expected(root, left, right, value, cover))))
-        return pd.DataFrame(out, columns=["row", "feature", "phi"])
-
-    n_trees = nodes.select("treeID").distinct().count()
-    per = nodes.groupBy("treeID").applyInPandas(per_tree, "row long, feature string, phi double")
-    return per.groupBy("row", "feature").agg((F.sum("phi") / n_trees).alias("phi"))
+def _patterns(follows: np.ndarray):
+    code = follows @ (1 << np.arange(follows.shape[1], dtype=np.int64))
+    _, first, which = np.unique(code, return_index=True, return_inverse=True)
+    return follows[first], which
+
+
+def explain_rows(trees: list[Tree], x: np.ndarray) -> np.ndarray:
+    out = np.zeros(x.shape)
+    for t in trees:
+        out += tree_phi(t, x)
+    return out

@@ -24,6 +24,7 @@ from weekpanel.params import Params
 from weekpanel.plans import oracle as O
 from weekpanel.plans.master import build_master, dense_panel
 from weekpanel.schema import FEATURE_CATEGORICAL, FEATURE_NUMERIC, MASTER_COLUMNS, TARGET
+from weekpanel.session import cut_lineage
 from weekpanel.sources.adapters import supplier_cases, table
 
 # driver data starts in 1995: the adapters widen the valid-year range
@@ -50,7 +51,9 @@ def round6(df: DataFrame) -> DataFrame:
 
 
 def master(spark: SparkSession, sf_dir: str, params: Params = ADAPTER) -> DataFrame:
-    return build_master(supplier_cases(spark, sf_dir), params)
+    """The master panel, written once per query: what a query reads of it several
+    times (series, extension, fits) scans that table instead of planning the panel anew."""
+    return cut_lineage(build_master(supplier_cases(spark, sf_dir), params), "panel")
 
 
 def cases(spark, sf_dir):

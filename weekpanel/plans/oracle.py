@@ -16,7 +16,7 @@ def norm(x: str) -> str:
 # cleaned cases of the supplier adapter (lineitem as a case list)
 CASES = f"""
 raw_cases AS (
-  SELECT lpad(CAST(l.l_suppkey AS VARCHAR), 6, '0') AS unit_id,
+  SELECT lpad(CAST(l.l_suppkey AS VARCHAR), CAST(greatest(6, length(CAST(l.l_suppkey AS VARCHAR))) AS INTEGER), '0') AS unit_id,
          {norm('r.r_name')} AS region, {norm('n.n_name')} AS province, {norm('s.s_name')} AS district,
          CAST(year(l.l_shipdate) AS INTEGER) AS year,
          CAST((dayofyear(l.l_shipdate) - 1) // 7 + 1 AS INTEGER) AS week,
@@ -152,7 +152,7 @@ def r6(col: str, alias: str | None = None) -> str:
 # cleaned cases of the sparse customer adapter (orders as a case list)
 CUSTOMER_CASES = f"""
 raw_cases AS (
-  SELECT lpad(CAST(o.o_custkey AS VARCHAR), 6, '0') AS unit_id,
+  SELECT lpad(CAST(o.o_custkey AS VARCHAR), CAST(greatest(6, length(CAST(o.o_custkey AS VARCHAR))) AS INTEGER), '0') AS unit_id,
          {norm('r.r_name')} AS region, {norm('n.n_name')} AS province, {norm('c.c_name')} AS district,
          CAST(year(o.o_orderdate) AS INTEGER) AS year,
          CAST((dayofyear(o.o_orderdate) - 1) // 7 + 1 AS INTEGER) AS week,

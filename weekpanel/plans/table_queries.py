@@ -11,12 +11,11 @@ from pyspark.sql import functions as F
 from weekpanel.operators import classify as CF
 from weekpanel.operators import registry as RG
 from weekpanel.operators import scenario as SC
-from weekpanel.operators.eda import first_weeks, stable_sample
 from weekpanel.operators.metrics import class_metrics, roc_auc
 from weekpanel.params import Params
 from weekpanel.plans.catalog import ADAPTER, MASTER_SQL, master, register, round6
 from weekpanel.schema import CASE_REGISTRY, MASTER_COLUMNS, QUERY_REGISTRY
-from weekpanel.session import ensure_checkpoint_dir
+from weekpanel.session import cut_lineage, ensure_checkpoint_dir
 from weekpanel.sources import io
 from weekpanel.sources.adapters import supplier_cases, table
 
@@ -28,18 +27,17 @@ NOTE_REVISED = "revisado"
 
 REG_COLS = "id, unit_id, region, province, district, year, week, cases, note, created_at, updated_at"
 REG_SQL = MASTER_SQL.rstrip() + f""",
-imp AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY unit_id, year ORDER BY week) AS rn FROM master) WHERE rn <= 15),
 reg AS (
   SELECT CAST(row_number() OVER (ORDER BY unit_id, year, week) AS BIGINT) AS id, unit_id, region, province, district, year, week,
          cases, '{NOTE_IMPORTED}' AS note, TIMESTAMP '2026-01-01 00:00:00' AS created_at, TIMESTAMP '2026-01-01 00:00:00' AS updated_at
-  FROM imp
+  FROM master
 )
 """
 
 
 def _registry(spark, sf_dir):
-    batch = first_weeks(master(spark, sf_dir), 15).withColumn("note", F.lit(NOTE_IMPORTED)).withColumn("bogus_column", F.lit(1))
-    return RG.append(RG.empty(spark, CASE_REGISTRY), batch, CASE_REGISTRY, STAMP1, ["unit_id", "year", "week"])
+    batch = master(spark, sf_dir).withColumn("note", F.lit(NOTE_IMPORTED)).withColumn("bogus_column", F.lit(1))
+    return cut_lineage(RG.append(RG.empty(spark, CASE_REGISTRY), batch, CASE_REGISTRY, STAMP1, ["unit_id", "year", "week"]), "registry")
 
 
 @register("registry_append", REG_SQL + f"SELECT {REG_COLS} FROM reg")
@@ -186,12 +184,11 @@ def q_scenario_clamp(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- classifiers
-# small tree / round counts for the registered queries; reference defaults live in Params()
-ML = ADAPTER.replace(rf_trees=20, rf_depth=8, boost_rounds=10, tree_depth=8)
+ML = ADAPTER
 
 
 def _frame(spark, sf_dir):
-    return CF.modeling_frame(master(spark, sf_dir))
+    return cut_lineage(CF.modeling_frame(master(spark, sf_dir)), "frame")
 
 
 @register("prep_vectors")
@@ -206,7 +203,7 @@ def q_prep_vectors(spark, sf_dir):
 
 @register("train_classifiers")
 def q_train_classifiers(spark, sf_dir):
-    fr = _frame(spark, sf_dir).cache()
+    fr = _frame(spark, sf_dir)
     scored = None
     for name in CF.MODELS:
         s = CF.score(CF.fit(fr, name, ML), fr.filter(F.col("split") == "test"), name)
@@ -234,7 +231,7 @@ def q_model_roundtrip(spark, sf_dir):
 
 @register("balance_effect")
 def q_balance_effect(spark, sf_dir):
-    fr = _frame(spark, sf_dir).cache()
+    fr = _frame(spark, sf_dir)
     rows = None
     for name in ("random_forest", "xgboost"):
         for state, bal in (("without", False), ("with", True)):
@@ -247,8 +244,7 @@ def q_balance_effect(spark, sf_dir):
 def _shap(spark, sf_dir):
     fr = _frame(spark, sf_dir)
     model = CF.fit(fr, "logistic_regression", ML)
-    test = stable_sample(fr.filter(F.col("split") == "test"), ["unit_id", "week_id"], 400, ML.seed)
-    return CF.linear_shap(model, test, fr.filter(F.col("split") == "train"))
+    return CF.linear_shap(model, fr.filter(F.col("split") == "test"), fr.filter(F.col("split") == "train"))
 
 
 @register("shap_linear")
@@ -266,8 +262,7 @@ def q_shap_global(spark, sf_dir):
     return CF.global_importance(_shap(spark, sf_dir))
 
 
-@register("scenario_scores")
-def q_scenario_scores(spark, sf_dir):
+def _scenario_scores(spark, sf_dir):
     m = master(spark, sf_dir)
     fr = CF.modeling_frame(m)
     model = CF.fit(fr, "logistic_regression", ML)
@@ -279,18 +274,24 @@ def q_scenario_scores(spark, sf_dir):
     from pyspark.ml.functions import vector_to_array
 
     p = vector_to_array("probability")[1]
-    return out.select("unit_id", "scenario", "cases", p.alias("proba"), (p >= ML.threshold).cast("int").alias("pred"))
+    scored = out.select("unit_id", "scenario", p.alias("proba"), (p >= ML.threshold).cast("int").alias("pred"))
+    return scored.join(sc.select("unit_id", "scenario", *SC.CONTROLS), ["unit_id", "scenario"])
+
+
+@register("scenario_scores")
+def q_scenario_scores(spark, sf_dir):
+    return _scenario_scores(spark, sf_dir).select("unit_id", "scenario", "cases", "proba", "pred")
 
 
 @register("prediction_log")
 def q_prediction_log(spark, sf_dir):
-    scores = q_scenario_scores(spark, sf_dir)
+    scores = cut_lineage(_scenario_scores(spark, sf_dir), "scores")
     m = master(spark, sf_dir)
     geo = m.groupBy("unit_id").agg(F.min_by("region", "week_id").alias("region"), F.min_by("district", "week_id").alias("district"),
-                                    F.max_by("week", "week_id").alias("week"))
+                                    F.max_by("week", "week_id").alias("last_week"))
     batch = scores.join(geo, "unit_id").select(
-        "region", "district", "week", F.lit("logistic_regression").alias("model"),
-        F.create_map(F.lit("cases"), F.round(F.col("cases").cast("double"), 3)).alias("inputs"),
+        "region", "district", F.col("last_week").alias("week"), F.lit("logistic_regression").alias("model"),
+        F.create_map(*[x for c in SC.CONTROLS for x in (F.lit(c), F.round(F.col(c).cast("double"), 3))]).alias("inputs"),
         F.round("proba", 4).alias("probability"),
         F.when(F.col("pred") == 1, F.lit("high")).otherwise(F.lit("low")).alias("prediction"), "unit_id", "scenario",
     )
@@ -327,11 +328,18 @@ def q_scan_master(spark, sf_dir):
     return round6(io.read_master(spark, path).select(*MASTER_COLUMNS))
 
 
+def _tree_shap(spark, sf_dir):
+    fr = _frame(spark, sf_dir)
+    model = CF.fit(fr, "random_forest", ML)
+    return CF.tree_shap_values(model, fr.filter(F.col("split") == "test"), _scratch(spark, "models"))
+
+
 @register("shap_tree")
 def q_shap_tree(spark, sf_dir):
-    """Tree SHAP of the random forest (class-1 probability) on a stable
-    400-row sample of the test split; per-tree work in applyInPandas."""
-    fr = _frame(spark, sf_dir)
-    model = CF.fit(fr, "random_forest", ML.replace(rf_trees=10, rf_depth=6))
-    path = _scratch(spark, "models")
-    return CF.tree_shap_values(model, fr.filter(F.col("split") == "test"), path, 400, ML.seed)
+    """Tree SHAP of the random forest (class-1 probability) on the test split."""
+    return _tree_shap(spark, sf_dir)
+
+
+@register("shap_tree_global")
+def q_shap_tree_global(spark, sf_dir):
+    return CF.global_importance(_tree_shap(spark, sf_dir).where("unit_id is not null"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 
@@ -31,16 +32,23 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    On a cluster this is set by the launcher to a shared file system and is
-    used as is. Only when it is unset (local tests) a scratch folder is made."""
+    """The shared checkpoint folder: ``spark.checkpoint.dir``, else the folder
+    already set on the context. Only a local session without either (tests, the
+    bench) gets a scratch folder, removed when Python ends; on a cluster every executor would write to
+    a disk of its own, so a missing setting is an error."""
+    sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="weekpanel-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    if d:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(d)
+        return d
+    if not sc.getCheckpointDir():
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        scratch = tempfile.TemporaryDirectory(prefix="weekpanel-ckpt-", ignore_cleanup_errors=True)
+        atexit.register(scratch.cleanup)
+        sc.setCheckpointDir(scratch.name)
+    return sc.getCheckpointDir()
 
 
 def cut_lineage(df, name: str = "stage"):

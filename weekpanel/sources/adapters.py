@@ -9,7 +9,7 @@ AQE's runtime broadcast conversion) decides the strategy.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weekpanel.functions.calendar import epi_week, epi_year
@@ -27,17 +27,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a fact-table scan that has fewer input splits than the
-    session has task slots (e.g. one unsplittable file). Checked on the plan;
-    a large scan already has many splits and is left alone, so there is no
-    extra shuffle at scale."""
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. a remote session): leave the scan as is
-        return df
-    return df.repartition(slots) if parts < slots else df
+def unit_key(key) -> Column:
+    """Unit id as text, padded to at least six digits and never shortened."""
+    text = key.cast("string")
+    return F.when(F.length(text) < 6, F.lpad(text, 6, "0")).otherwise(text)
 
 
 def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,9 +58,9 @@ def _severity(flag_col, none_v, warn_v, severe_v):
 def supplier_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem as a case list: unit = supplier, geography = region / nation /
     supplier name, week from the ship date, severity from the return flag."""
-    li = spread(table(spark, sf_dir, "lineitem").select(
+    li = table(spark, sf_dir, "lineitem").select(
         "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate"
-    ))
+    )
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     geo = _geo(spark, sf_dir)
     j = li.join(sup, li.l_suppkey == sup.s_suppkey, "left").join(
@@ -82,7 +75,7 @@ def supplier_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
             _severity(F.col("l_returnflag"), "N", "A", "R").alias("disease"),
             epi_year(d).cast("string").alias("year"),
             epi_week(d).cast("string").alias("week"),
-            F.lpad(F.col("l_suppkey").cast("string"), 6, "0").alias("unit_id"),
+            unit_key(F.col("l_suppkey")).alias("unit_id"),
             F.col("l_quantity").cast("string").alias("age"),
             F.element_at(
                 F.array(*[F.lit(u) for u in AGE_UNITS]), (F.pmod(F.col("l_linenumber"), F.lit(3)) + 1).cast("int")
@@ -92,30 +85,9 @@ def supplier_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def nation_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """orders as a case list: unit = customer nation, week from the order date."""
-    o = spread(table(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus", "o_orderdate", "o_totalprice"))
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    geo = _geo(spark, sf_dir)
-    j = o.join(c, o.o_custkey == c.c_custkey, "left").join(geo, F.col("c_nationkey") == geo.n_nationkey, "left")
-    d = F.col("o_orderdate")
-    return _to_raw(
-        j.select(
-            F.col("r_name").alias("region"),
-            F.col("n_name").alias("province"),
-            F.col("n_name").alias("district"),
-            _severity(F.col("o_orderstatus"), "O", "P", "F").alias("disease"),
-            epi_year(d).cast("string").alias("year"),
-            epi_week(d).cast("string").alias("week"),
-            F.lpad(F.col("c_nationkey").cast("string"), 6, "0").alias("unit_id"),
-            F.col("c_mktsegment").alias("sex"),
-        )
-    )
-
-
 def customer_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders as a sparse case list: unit = customer."""
-    o = spread(table(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus", "o_orderdate"))
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus", "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     geo = _geo(spark, sf_dir)
     j = o.join(c, o.o_custkey == c.c_custkey, "left").join(geo, F.col("c_nationkey") == geo.n_nationkey, "left")
@@ -128,6 +100,6 @@ def customer_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
             _severity(F.col("o_orderstatus"), "O", "P", "F").alias("disease"),
             epi_year(d).cast("string").alias("year"),
             epi_week(d).cast("string").alias("week"),
-            F.lpad(F.col("o_custkey").cast("string"), 6, "0").alias("unit_id"),
+            unit_key(F.col("o_custkey")).alias("unit_id"),
         )
     )
