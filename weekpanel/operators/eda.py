@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekpanel.functions.scalar import hash_uniform
+from weekpanel.operators.ranks import exact_quantiles
 from weekpanel.schema import ORIGIN_REAL, ORIGIN_SIMULATED
 
 
@@ -32,14 +33,9 @@ def weekly_series(panel: DataFrame, levels: tuple[str, ...] = ("national", "regi
     distinct dates of the whole table between its own first and last date;
     missing dates are 0. Aggregation happens before anything is keyed by
     series, so the national series (one key) is a sum, not a hot group."""
-    keycol = {"national": F.lit("ALL"), "region": F.col("region"), "unit": F.col("unit_id")}
-    parts = [
-        panel.select(F.lit(lv).alias("level"), keycol[lv].alias("series_key"), "week_start", "cases")
-        for lv in levels
-    ]
-    stacked = parts[0]
-    for p in parts[1:]:
-        stacked = stacked.unionByName(p)
+    key = {"national": F.lit("ALL"), "region": F.col("region"), "unit": F.col("unit_id")}
+    each = F.explode(F.array(*[F.struct(F.lit(lv).alias("level"), key[lv].alias("series_key")) for lv in levels]))
+    stacked = panel.select(each.alias("x"), "week_start", "cases").select("x.*", "week_start", "cases")
     sums = stacked.groupBy("level", "series_key", "week_start").agg(F.sum("cases").cast("double").alias("cases"))
     spans = sums.groupBy("level", "series_key").agg(F.min("week_start").alias("d0"), F.max("week_start").alias("d1"))
     # distinct dates: <= 53 per year of a bounded year range -> broadcast
@@ -65,20 +61,16 @@ def panel_kpis(panel: DataFrame) -> DataFrame:
 
 
 def describe(df: DataFrame, cols: list[str]) -> DataFrame:
-    """count, mean, sample std, min, exact quartiles, max per column; one pass."""
+    """count, mean, sample std, min, exact quartiles, max per column."""
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
-        q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        aggs.append(
-            F.struct(
-                F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"),
-                F.stddev_samp(x).alias("std"), F.min(x).alias("min"), q[0].alias("q25"),
-                q[1].alias("q50"), q[2].alias("q75"), F.max(x).alias("max"),
-            ).alias(c)
-        )
-    one = df.agg(*aggs)
-    return one.select(F.explode(F.array(*[F.col(c) for c in cols])).alias("s")).select("s.*")
+        aggs.append(F.struct(F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"),
+                             F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max")).alias(c))
+    one = df.agg(*aggs).select(F.explode(F.array(*[F.col(c) for c in cols])).alias("s")).select("s.*")
+    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75])
+    return one.join(F.broadcast(q), "column", "left").select(  # one row per column
+        "column", "count", "mean", "std", "min", F.col("q0").alias("q25"), F.col("q1").alias("q50"), F.col("q2").alias("q75"), "max")
 
 
 def histogram(df: DataFrame, col: str = "cases", bins: int = 50, positive_only: bool = True) -> DataFrame:
@@ -101,8 +93,19 @@ def histogram(df: DataFrame, col: str = "cases", bins: int = 50, positive_only:
 
 
 def _quartiles(d: DataFrame, x) -> DataFrame:
-    q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return d.agg(q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3"))
+    q = exact_quantiles(d.select(x.alias("v")), ["v"], [0.25, 0.5, 0.75])
+    return q.select(F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
+
+
+def outlier_points(df: DataFrame, col: str = "cases", keys: tuple[str, ...] = ("unit_id", "week_id"), positive_only: bool = True) -> DataFrame:
+    """The points outside 1.5 IQR of the quartiles: (keys..., value, side)."""
+    x = F.col(col).cast("double")
+    d = df.filter(x > 0) if positive_only else df.filter(x.isNotNull())
+    qs = _quartiles(d, x)
+    reach = 1.5 * (F.col("q3") - F.col("q1"))
+    side = F.when(F.col("value") < F.col("q1") - reach, F.lit("low")).when(F.col("value") > F.col("q3") + reach, F.lit("high"))
+    j = d.select(*keys, x.alias("value")).crossJoin(F.broadcast(qs))  # one row
+    return j.withColumn("side", side).where("side is not null").select(*keys, "value", "side")
 
 
 def box_stats(df: DataFrame, col: str = "cases", positive_only: bool = True) -> DataFrame:

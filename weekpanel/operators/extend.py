@@ -34,6 +34,7 @@ from weekpanel.operators.label import add_target_and_split
 from weekpanel.operators.panel import unit_order
 from weekpanel.params import DEFAULT, Params
 from weekpanel.schema import AUX_COLS, BASE_COLUMNS, GEO_COLS, MASTER_COLUMNS, ORIGIN_REAL, ORIGIN_SIMULATED
+from weekpanel.session import cut_lineage
 
 PERIOD = 52
 
@@ -233,7 +234,7 @@ def extend_panel(master: DataFrame, params: Params = DEFAULT) -> DataFrame:
     the split years come from real rows only)."""
     m = master if "origin" in master.columns else master.withColumn("origin", F.lit(ORIGIN_REAL))
     real = m.filter(F.col("origin") == ORIGIN_REAL).select(*BASE_COLUMNS, "origin")
-    both = real.unionByName(simulate(real, params))
+    both = cut_lineage(real.unionByName(simulate(real, params)), "extended")
     feats = add_features(both, params.ma_window, params.season_length)
     return add_target_and_split(feats, params).select(*MASTER_COLUMNS)
 

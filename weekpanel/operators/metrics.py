@@ -2,17 +2,17 @@
 
 Everything is a grouped aggregate by model (a handful of groups, each
 combined map-side), so the work never lands in one task. ROC-AUC uses exact
-mid-ranks through a two-level prefix sum: negatives below each score are
-counted per coarse score bucket (<= 2^20 buckets per model) and then inside
-the bucket, so no window holds a whole model's rows."""
+mid-ranks through a running total over range-sorted distinct scores, so
+neither a model nor a band of close scores lands in one task."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weekpanel.operators.ranks import running_total
+
 MODEL_ORDER = ["random_forest", "xgboost", "gradient_boosting", "logistic_regression", "decision_tree"]
-AUC_BUCKETS = 1 << 20
 
 
 def _safe_div(a, b):
@@ -54,17 +54,7 @@ def roc_auc(scored: DataFrame) -> DataFrame:
     by_score = scored.groupBy("model", "proba").agg(
         F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") == 0).alias("neg")
     )
-    b = F.least(F.floor(F.col("proba") * AUC_BUCKETS), F.lit(AUC_BUCKETS - 1)).cast("long")
-    by_score = by_score.withColumn("b", b)
-    buckets = by_score.groupBy("model", "b").agg(F.sum("neg").alias("bneg"))
-    below_bucket = buckets.withColumn(
-        "neg_before_bucket",
-        F.coalesce(F.sum("bneg").over(Window.partitionBy("model").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-    ).select("model", "b", "neg_before_bucket")
-    inner = Window.partitionBy("model", "b").orderBy("proba").rowsBetween(Window.unboundedPreceding, -1)
-    s = by_score.join(below_bucket, ["model", "b"]).withColumn(
-        "neg_below", F.col("neg_before_bucket") + F.coalesce(F.sum("neg").over(inner), F.lit(0))
-    )
+    s = running_total(by_score, ["model"], ["proba"], ["neg"]).withColumn("neg_below", F.col("neg_upto") - F.col("neg"))
     g = s.groupBy("model").agg(
         F.sum(F.col("pos") * (F.col("neg_below") + 0.5 * F.col("neg"))).alias("u"),
         F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"),
@@ -92,14 +82,20 @@ def per_class_metrics(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 
 def threshold_sweep(scored: DataFrame, thresholds: list[float] | None = None) -> DataFrame:
-    """Precision, recall, F1, FP, FN per model at each threshold (the
-    threshold list is a fixed handful of rows, broadcast)."""
-    thresholds = thresholds or [round(0.1 * i, 1) for i in range(1, 10)]
-    spark = scored.sparkSession
-    th = F.broadcast(spark.createDataFrame([(float(t),) for t in thresholds], "t double"))
-    j = scored.crossJoin(th)
-    c = _rates(confusion(j, "t", by=("model", "t")))
-    return c.select("model", F.col("t").alias("threshold"), "precision", "recall", "f1", "fp", "fn")
+    """Precision, recall, F1, FP, FN per model at each threshold.
+
+    Each row is put once into the band between two thresholds; the sweep
+    cumulates the counts of the few bands."""
+    thresholds = sorted(thresholds or [round(0.1 * i, 1) for i in range(1, 10)])
+    reached = sum((F.col("proba") >= F.lit(float(t))).cast("int") for t in thresholds)
+    bands = scored.groupBy("model", F.coalesce(reached, F.lit(0)).alias("band")).agg(
+        F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") == 0).alias("neg"))
+    th = scored.sparkSession.createDataFrame([(i + 1, float(t)) for i, t in enumerate(thresholds)], "i int, t double")
+    above = F.col("band") >= F.col("i")
+    c = bands.crossJoin(F.broadcast(th)).groupBy("model", "t").agg(
+        F.coalesce(F.sum(F.when(above, F.col("pos"))), F.lit(0)).alias("tp"), F.coalesce(F.sum(F.when(above, F.col("neg"))), F.lit(0)).alias("fp"),
+        F.coalesce(F.sum(F.when(~above, F.col("neg"))), F.lit(0)).alias("tn"), F.coalesce(F.sum(F.when(~above, F.col("pos"))), F.lit(0)).alias("fn"))
+    return _rates(c).select("model", F.col("t").alias("threshold"), "precision", "recall", "f1", "fp", "fn")
 
 
 def best_by(df: DataFrame, metric: str, key: str = "model", order: list[str] | None = None, lowest: bool = False) -> DataFrame:

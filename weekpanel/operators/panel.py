@@ -46,18 +46,12 @@ def case_groups(cases: DataFrame) -> DataFrame:
 
 
 def fold_group_severity(groups: DataFrame) -> DataFrame:
-    """Warning / severe counts from raw disease spellings: the distinct
-    spellings are folded once and joined back (a small table; Spark's size
-    check / AQE picks the broadcast)."""
+    """Warning / severe counts from raw disease spellings, folded in place on
+    the aggregated rows (a join on the few spellings would be a join on hot keys)."""
     from weekpanel.operators.clean import severity_flags
 
-    labels = groups.select("disease").distinct()
     warn, severe = severity_flags(normalize_text("disease"))
-    labels = labels.select("disease", warn.alias("_w"), severe.alias("_s"))
-    j = groups.join(labels, groups.disease.eqNullSafe(labels.disease), "left").drop(labels.disease)
-    return j.withColumn("warn_n", F.col("n") * F.coalesce("_w", F.lit(0))).withColumn(
-        "severe_n", F.col("n") * F.coalesce("_s", F.lit(0))
-    ).drop("_w", "_s", "disease")
+    return groups.withColumns({"warn_n": F.col("n") * warn, "severe_n": F.col("n") * severe}).drop("disease")
 
 
 def epi_calendar(weeks: DataFrame) -> DataFrame:

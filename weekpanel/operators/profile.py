@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from weekpanel.operators.ranks import equal_groups
+
 PROFILE_COLS = [
     "mean_weekly", "median_weekly", "max_weekly", "std_weekly", "high_share",
     "growth_mean", "share_weeks_with_cases", "peak_week",
@@ -21,7 +23,6 @@ LEVEL_NAMES = [
     "Transmision alta y sostenida",
     "Transmision muy alta",
 ]
-EXTRA_LEVEL = "Nivel {i}"
 
 
 def peak_week(panel: DataFrame) -> DataFrame:
@@ -113,5 +114,4 @@ def cluster_share(panel: DataFrame, labels: DataFrame) -> DataFrame:
 def intensity_buckets(profile: DataFrame, k: int) -> DataFrame:
     """Deterministic reference labelling (k equal-size groups by mean
     intensity), used to check the summaries independently of K-means."""
-    w = Window.orderBy("mean_weekly", "unit_id")  # one row per unit
-    return profile.select("unit_id", (F.ntile(k).over(w) - 1).cast("int").alias("cluster"))
+    return equal_groups(profile.select("unit_id", "mean_weekly"), ["mean_weekly", "unit_id"], k, "cluster").select("unit_id", "cluster")

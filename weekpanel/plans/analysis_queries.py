@@ -8,7 +8,7 @@ from weekpanel.operators import cluster as CL
 from weekpanel.operators import metrics as ME
 from weekpanel.operators import profile as PR
 from weekpanel.operators.eda import real_only
-from weekpanel.plans.catalog import MASTER_SQL, master, register, round6
+from weekpanel.plans.catalog import ADAPTER, MASTER_SQL, master, register, round6
 
 PROFILE_SQL = MASTER_SQL.rstrip() + """,
 real AS (SELECT * FROM master WHERE origin = 'real'),
@@ -128,12 +128,12 @@ def q_cluster_share(spark, sf_dir):
 @register("unit_clusters")
 def q_unit_clusters(spark, sf_dir):
     prof = profile(spark, sf_dir)
-    return CL.unit_clusters(prof, k=3, seed=42, n_init=2)
+    return CL.unit_clusters(prof, k=ADAPTER.k_selected, seed=ADAPTER.seed)
 
 
 @register("kmeans_sweep")
 def q_kmeans_sweep(spark, sf_dir):
-    return CL.kmeans_sweep(profile(spark, sf_dir), 2, 8, seed=42, n_init=1)
+    return CL.kmeans_sweep(profile(spark, sf_dir), ADAPTER.k_min, ADAPTER.k_max, seed=ADAPTER.seed)
 
 
 @register("pca_2d")
