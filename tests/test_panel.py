@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from tests.fixtures import raw_cases
+from tests.fixtures import QUIET, busy_rows, quiet_rows, raw_cases
 from weekpanel.operators.clean import clean_cases
 from weekpanel.params import Params
 from weekpanel.plans.master import build_master
@@ -16,7 +16,7 @@ def _master(spark):
 def test_duplicates_kept_and_input_unchanged(spark):
     raw = raw_cases(spark)
     n = raw.count()
-    assert n == 1086
+    assert n == sum(busy_rows(y, w) + quiet_rows(y, w) for y in range(2014, 2020) for w in range(1, 51))
     assert clean_cases(raw, P).count() == n
     assert raw.count() == n
 
@@ -34,8 +34,8 @@ def test_master_shape_and_key(spark):
 
 def test_zero_filled_weeks(spark):
     m = _master(spark)
-    # unit B has no cases in even weeks: those weeks exist with 0 cases and NULL means
-    zeros = m.filter((F.col("unit_id") == "200101") & (F.col("cases") == 0))
+    # the quiet unit's empty weeks exist with 0 cases and NULL means
+    zeros = m.filter((F.col("unit_id") == QUIET) & (F.col("cases") == 0))
     assert zeros.count() > 0
     assert zeros.filter(F.col("age_mean").isNotNull()).count() == 0
 
@@ -67,4 +67,66 @@ def test_target_binary_and_not_a_feature(spark):
 def test_split_years(spark):
     m = _master(spark)
     got = {r.split: (r.lo, r.hi) for r in m.groupBy("split").agg(F.min("year").alias("lo"), F.max("year").alias("hi")).collect()}
-    assert got["test"] == (2023, 2023) and got["val"] == (2022, 2022) and got["train"][1] == 2021
+    assert got["test"] == (2019, 2019) and got["val"] == (2018, 2018) and got["train"][1] == 2017
+
+
+def test_raw_file_with_documented_header(spark, tmp_path):
+    """A file with a BOM and the documented header gives the right panel; one without the unit is refused."""
+    import pytest
+
+    from weekpanel.sources import io
+
+    names = {v: k for k, v in io.DOCUMENTED_HEADER.items()}
+    raw = raw_cases(spark)
+    rows = raw.collect()
+    text = ";".join(f" {names[c].upper()} " if i % 2 else names[c] for i, c in enumerate(raw.columns)) + "\n"
+    text += "\n".join(";".join(x or "" for x in r) for r in rows)
+    f = tmp_path / "cases.csv"
+    f.write_bytes(b"\xef\xbb\xbf" + text.encode())
+    back = io.read_raw_csv(spark, str(f))
+    assert clean_cases(back, P).count() == len(rows)
+    got = build_master(back, P).select("unit_id", "week_id", "cases").collect()
+    want = _master(spark).select("unit_id", "week_id", "cases").collect()
+    assert sorted(got) == sorted(want)
+    (tmp_path / "bad.csv").write_text("a;b\n1;2\n")
+    with pytest.raises(ValueError, match="unit_id"):
+        io.read_raw_csv(spark, str(tmp_path / "bad.csv"))
+    own = io.read_raw_csv(spark, str(tmp_path / "bad.csv"), mapping={"a": "unit_id", "b": "year"}, required=("unit_id", "year"))
+    assert own.first().unit_id == "1"
+
+
+def test_saved_panel_models_and_meta(spark, tmp_path):
+    from weekpanel.plans.master import load_or_build_master
+    from weekpanel.sources import io
+
+    path = str(tmp_path / "panel")
+    first = load_or_build_master(spark, path, raw_cases(spark), extend=False, params=P)
+    again = load_or_build_master(spark, path, None, params=P)
+    assert sorted(first.select("unit_id", "week_id", "cases").collect()) == sorted(again.select("unit_id", "week_id", "cases").collect())
+    assert io.read_optional(spark, str(tmp_path / "none")) is None and io.load_model(str(tmp_path / "none")) is None
+    assert io.artifacts_ready(spark, [path]) and not io.artifacts_ready(spark, [path, str(tmp_path / "none")])
+    io.save_meta(spark, {"best": "x", "threshold": 0.5}, str(tmp_path / "meta"))
+    assert io.load_meta(spark, str(tmp_path / "meta")) == {"best": "x", "threshold": 0.5}
+    assert io.load_meta(spark, str(tmp_path / "none")) is None
+
+
+def test_ranks_and_quantiles(spark):
+    import numpy as np
+
+    from weekpanel.operators import eda, ranks
+
+    rng = np.random.default_rng(5)
+    rows = [(i, "ab"[i % 2], float(rng.integers(0, 50)), float(rng.normal()) if i % 9 else None) for i in range(500)]
+    df = spark.createDataFrame(rows, "i long, g string, x double, y double").repartition(7)
+    got = {r.column: (r.q0, r.q1) for r in ranks.exact_quantiles(df, ["x", "y"], [0.25, 0.9]).collect()}
+    for k, c in ((2, "x"), (3, "y")):
+        v = [r[k] for r in rows if r[k] is not None]
+        assert np.allclose(got[c], np.quantile(v, [0.25, 0.9]))
+    upto = {r.i: r.x_upto for r in ranks.running_total(df, ["g"], ["i"], ["x"]).collect()}
+    for g in "ab":
+        mine = [r for r in rows if r[1] == g]
+        assert np.allclose([upto[r[0]] for r in mine], np.cumsum([r[2] for r in mine]))
+    groups = ranks.equal_groups(df, ["i"], 7, "k").orderBy("i").collect()
+    assert [r.k for r in groups] == [k for k, part in enumerate(np.array_split(range(500), 7)) for _ in part]
+    far = spark.createDataFrame([("u", i, v) for i, v in enumerate([5, 6, 7, 6, 5, 90, 6])], "unit_id string, week_id long, cases long")
+    assert [(r.week_id, r.side) for r in eda.outlier_points(far).collect()] == [(5, "high")]

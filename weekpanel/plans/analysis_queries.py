@@ -8,6 +8,8 @@ from weekpanel.operators import cluster as CL
 from weekpanel.operators import metrics as ME
 from weekpanel.operators import profile as PR
 from weekpanel.operators.eda import real_only
+from weekpanel.plans.oracle import FEATURES
+from weekpanel.schema import MASTER_COLUMNS
 from weekpanel.plans.catalog import ADAPTER, MASTER_SQL, master, register, round6
 
 PROFILE_SQL = MASTER_SQL.rstrip() + """,
@@ -353,7 +355,10 @@ def q_forecast_display(spark, sf_dir):
 
 # ------------------------------------------------------------ extension
 from weekpanel.operators import extend as XT  # noqa: E402
-from weekpanel.params import DEFAULT as _P  # noqa: E402
+
+# the driver's data ends in 2001: the extension runs about 74 weeks beyond it, as far as the default horizon runs beyond the years it is made for
+EXT = ADAPTER.replace(extend_to_year=2003, extend_to_week=22, year_intensity=((2002, 0.80), (2003, 0.90)))
+_P = EXT
 
 
 def _u(parts: str) -> str:
@@ -441,37 +446,37 @@ def _real(spark, sf_dir):
 
 @register("target_calendar", EXT_SQL + "SELECT year, week, week_id, CAST(make_date(year, 1, 1) + CAST(7 * (week - 1) AS INTEGER) AS DATE) AS week_start FROM tcal")
 def q_target_calendar(spark, sf_dir):
-    return XT.target_calendar(_real(spark, sf_dir))
+    return XT.target_calendar(_real(spark, sf_dir), EXT)
 
 
 @register("active_units", EXT_SQL + "SELECT unit_id FROM active")
 def q_active_units(spark, sf_dir):
-    return XT.active_units(_real(spark, sf_dir))
+    return XT.active_units(_real(spark, sf_dir), EXT)
 
 
 @register("seasonal_pool", EXT_SQL + "SELECT unit_id, week_id, CAST(count(*) AS BIGINT) AS n_candidates, round(sum(weight), 6) AS weight_sum FROM cand GROUP BY unit_id, week_id")
 def q_seasonal_pool(spark, sf_dir):
     real = _real(spark, sf_dir)
-    return round6(XT.pool_sizes(XT.targets(real), *XT.candidate_arrays(XT.pool(real))))
+    return round6(XT.pool_sizes(XT.targets(real, EXT), *XT.candidate_arrays(XT.pool(real, EXT), EXT)))
 
 
 @register("weighted_draw", EXT_SQL + "SELECT unit_id, week_id, p_week_id AS drawn_week_id, p_cases AS drawn_cases FROM drawn")
 def q_weighted_draw(spark, sf_dir):
     real = _real(spark, sf_dir)
-    d = XT.weighted_draw(XT.candidates(XT.targets(real), XT.pool(real)))
+    d = XT.weighted_draw(XT.candidates(XT.targets(real, EXT), XT.pool(real, EXT), EXT), EXT)
     return d.select("unit_id", "week_id", F.col("p_week_id").alias("drawn_week_id"), F.col("p_cases").alias("drawn_cases"))
 
 
 @register("ar1_path", EXT_SQL + "SELECT unit_id, week_id, round(log_f, 6) AS log_f FROM ar")
 def q_ar1_path(spark, sf_dir):
-    return round6(XT.ar1_path(XT.targets(_real(spark, sf_dir))))
+    return round6(XT.ar1_path(XT.targets(_real(spark, sf_dir), EXT), EXT))
 
 
 @register("bootstrap_extend", EXT_SQL + "SELECT unit_id, region, province, district, year, week, week_start, week_id, cases, "
           "round(age_mean, 6) AS age_mean, round(warn_share, 6) AS warn_share, round(severe_share, 6) AS severe_share, "
           "round(female_share, 6) AS female_share, origin FROM sim")
 def q_bootstrap_extend(spark, sf_dir):
-    return round6(XT.simulate(_real(spark, sf_dir)))
+    return round6(XT.simulate(_real(spark, sf_dir), EXT))
 
 
 @register("extension_summary", EXT_SQL + """SELECT CAST((SELECT count(*) FROM sim) AS BIGINT) AS simulated_rows,
@@ -481,20 +486,42 @@ def q_bootstrap_extend(spark, sf_dir):
   (SELECT count(*) > 0 FROM sim) AS has_simulation,
   CASE WHEN (SELECT count(*) > 0 FROM sim) THEN (SELECT max(week_start) FROM master) END AS cut_date""")
 def q_extension_summary(spark, sf_dir):
-    return XT.extension_summary(XT.extend_panel(_real(spark, sf_dir)))
+    return XT.extension_summary(XT.extend_panel(_real(spark, sf_dir), EXT))
+
+
+_BASE = "unit_id, region, province, district, year, week, week_start, week_id, cases, age_mean, warn_share, severe_share, female_share, origin"
+EXTENDED_SQL = EXT_SQL.rstrip() + f""",
+both_rows AS (SELECT {_BASE} FROM master UNION ALL SELECT {_BASE} FROM sim),
+{FEATURES.strip().replace("feat AS", "feat2 AS").replace("'real' AS origin", "1 AS one").replace("FROM hist", "FROM both_rows")},
+yrs2 AS (SELECT year, dense_rank() OVER (ORDER BY year DESC) AS r FROM (SELECT DISTINCT year FROM feat2 WHERE origin = 'real')),
+with_split2 AS (
+  SELECT f.* EXCLUDE (one), CASE WHEN f.origin = 'simulated' THEN 'simulated' WHEN r <= 1 THEN 'test' WHEN r <= 2 THEN 'val' ELSE 'train' END AS split
+  FROM feat2 f LEFT JOIN yrs2 y ON f.year = y.year),
+thr2 AS (SELECT unit_id, quantile_cont(cases, 0.75) AS threshold FROM with_split2 WHERE split = 'train' GROUP BY unit_id),
+extended AS (
+  SELECT w.*, t.threshold, CASE WHEN lead(origin, 1) OVER (PARTITION BY w.unit_id ORDER BY week_id) = origin
+    THEN CAST(lead(cases, 1) OVER (PARTITION BY w.unit_id ORDER BY week_id) > t.threshold AS INTEGER) END AS target
+  FROM with_split2 w LEFT JOIN thr2 t ON w.unit_id = t.unit_id)
+"""
+_DOUBLES = ("age_mean", "warn_share", "severe_share", "female_share", "cases_lag_1", "cases_lag_2", "cases_lag_4", "roll_mean_4", "roll_mean_8", "roll_std_4",
+            "growth", "week_sin", "week_cos", "threshold")
 
 
-@register("extend_panel")
+@register("extend_panel", EXTENDED_SQL + "SELECT " + ", ".join(f"round({c}, 6) AS {c}" if c in _DOUBLES else c for c in MASTER_COLUMNS) + " FROM extended")
 def q_extend_panel(spark, sf_dir):
-    return round6(XT.extend_panel(_real(spark, sf_dir)))
+    return round6(XT.extend_panel(_real(spark, sf_dir), EXT))
 
 
-@register("series_segments")
+@register("series_segments", EXTENDED_SQL.rstrip() + """,
+cut AS (SELECT CASE WHEN (SELECT count(*) > 0 FROM sim) THEN max(week_start) END AS d FROM master),
+nat AS (SELECT 'national' AS level, 'ALL' AS series_key, week_start, CAST(sum(cases) AS DOUBLE) AS cases FROM extended GROUP BY week_start)
+SELECT nat.*, 'observed' AS segment FROM nat, cut WHERE week_start <= d
+UNION ALL SELECT nat.*, 'projected' FROM nat, cut WHERE week_start >= d""")
 def q_series_segments(spark, sf_dir):
     from weekpanel.session import cut_lineage
 
     # the extended panel feeds two branches: materialise it once
-    ext = cut_lineage(XT.extend_panel(_real(spark, sf_dir)), "extended_panel")
+    ext = cut_lineage(XT.extend_panel(_real(spark, sf_dir), EXT), "extended_panel")
     cut = F.broadcast(XT.extension_summary(ext).select("cut_date"))  # one row
     national = _eda.weekly_series(ext, ("national",))
     return XT.series_segments(national.crossJoin(cut))

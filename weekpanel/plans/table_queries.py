@@ -14,10 +14,10 @@ from weekpanel.operators import scenario as SC
 from weekpanel.operators.metrics import class_metrics, roc_auc
 from weekpanel.params import Params
 from weekpanel.plans.catalog import ADAPTER, MASTER_SQL, master, register, round6
-from weekpanel.schema import CASE_REGISTRY, MASTER_COLUMNS, QUERY_REGISTRY
+from weekpanel.schema import CASE_REGISTRY, FEATURE_NUMERIC, MASTER_COLUMNS, QUERY_REGISTRY
 from weekpanel.session import cut_lineage, ensure_checkpoint_dir
 from weekpanel.sources import io
-from weekpanel.sources.adapters import supplier_cases, table
+from weekpanel.sources.adapters import LABEL_NONE, LABEL_SEVERE, LABEL_WARNING, supplier_cases, table
 
 STAMP1 = datetime.datetime(2026, 1, 1, 0, 0, 0)
 STAMP2 = datetime.datetime(2026, 2, 1, 0, 0, 0)
@@ -191,14 +191,30 @@ def _frame(spark, sf_dir):
     return cut_lineage(CF.modeling_frame(master(spark, sf_dir)), "frame")
 
 
-@register("prep_vectors")
+def _prep_sql() -> str:
+    """Standardised numeric features and one-hot regions, in long form."""
+    zs = [f"coalesce(CAST(f.{c} AS DOUBLE), 0.0)" for c in FEATURE_NUMERIC]
+    stats = ", ".join(f"avg(coalesce(CAST({c} AS DOUBLE), 0.0)) AS m{i}, stddev_samp(coalesce(CAST({c} AS DOUBLE), 0.0)) AS s{i}" for i, c in enumerate(FEATURE_NUMERIC))
+    numeric = " UNION ALL ".join(
+        f"SELECT unit_id, week_id, split, {i} AS slot, round(CASE WHEN s{i} > 0 THEN ({z} - m{i}) / s{i} ELSE 0.0 END, 6) + 0.0 AS value FROM fr f, st"
+        for i, z in enumerate(zs))
+    return MASTER_SQL.rstrip() + f""",
+fr AS (SELECT * FROM master WHERE target IS NOT NULL),
+st AS (SELECT {stats} FROM fr WHERE split = 'train'),
+idx AS (SELECT region, row_number() OVER (ORDER BY count(*) DESC, region) - 1 AS i FROM fr WHERE split = 'train' AND region IS NOT NULL GROUP BY region)
+{numeric}
+UNION ALL SELECT unit_id, week_id, split, CAST({len(FEATURE_NUMERIC)} + idx.i AS INTEGER), CASE WHEN f.region = idx.region THEN 1.0 ELSE 0.0 END FROM fr f, idx"""
+
+
+@register("prep_vectors", _prep_sql())
 def q_prep_vectors(spark, sf_dir):
     from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array
 
     fr = _frame(spark, sf_dir)
     prep = Pipeline(stages=CF.preprocessor()).fit(fr.filter(F.col("split") == "train"))
-    return prep.transform(fr).select("unit_id", "week_id", "split", vector_to_array("features").alias("features"))
+    v = prep.transform(fr).select("unit_id", "week_id", "split", F.posexplode(vector_to_array("features")).alias("slot", "value"))
+    return v.withColumn("value", F.round("value", 6) + F.lit(0.0))
 
 
 @register("train_classifiers")
@@ -217,7 +233,7 @@ def q_score_panel(spark, sf_dir):
     return CF.score(CF.fit(fr, "logistic_regression", ML), fr, "logistic_regression")
 
 
-@register("model_roundtrip")
+@register("model_roundtrip", MASTER_SQL + "SELECT CAST(count(*) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS different FROM master WHERE target IS NOT NULL")
 def q_model_roundtrip(spark, sf_dir):
     fr = _frame(spark, sf_dir)
     model = CF.fit(fr, "decision_tree", ML)
@@ -226,7 +242,8 @@ def q_model_roundtrip(spark, sf_dir):
     back = io.load_model(path)
     a = CF.score(model, fr, "saved").select("unit_id", "week_id", F.col("proba").alias("p_saved"))
     b = CF.score(back, fr, "loaded").select("unit_id", "week_id", F.col("proba").alias("p_loaded"))
-    return a.join(b, ["unit_id", "week_id"])
+    both = a.join(b, ["unit_id", "week_id"], "full")
+    return both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("p_saved").eqNullSafe(F.col("p_loaded"))).alias("different"))
 
 
 @register("balance_effect")
@@ -303,7 +320,16 @@ def _scratch(spark, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}/{uuid.uuid4().hex}"
 
 
-@register("scan_raw_csv")
+@register("scan_raw_csv", f"""SELECT r.r_name AS region,
+  array_to_string(list_transform(string_split(lower(n.n_name), ' '), lambda x: upper(x[1]) || x[2:]), ' ') AS province, s.s_name AS district,
+  CASE l.l_returnflag WHEN 'N' THEN '{LABEL_NONE}' WHEN 'A' THEN '{LABEL_WARNING}' WHEN 'R' THEN '{LABEL_SEVERE}' END AS disease,
+  CAST(year(l.l_shipdate) AS VARCHAR) AS year, CAST((dayofyear(l.l_shipdate) - 1) // 7 + 1 AS VARCHAR) AS week,
+  lpad(CAST(l.l_suppkey AS VARCHAR), CAST(greatest(6, length(CAST(l.l_suppkey AS VARCHAR))) AS INTEGER), '0') AS unit_id,
+  CAST(l.l_quantity AS VARCHAR) AS age, CASE l.l_linenumber % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'M' ELSE 'D' END AS age_unit,
+  CASE WHEN l.l_linestatus = 'F' THEN 'F' ELSE 'M' END AS sex, CAST(NULL AS VARCHAR) AS locality, CAST(NULL AS VARCHAR) AS diagnostic,
+  CAST(NULL AS VARCHAR) AS health_office, CAST(NULL AS VARCHAR) AS locality_code
+FROM lineitem l LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey
+LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""")
 def q_scan_raw_csv(spark, sf_dir):
     """Round trip the raw case list through a `;` CSV with a header."""
     path = _scratch(spark, "raw_csv")
@@ -311,7 +337,7 @@ def q_scan_raw_csv(spark, sf_dir):
     return io.read_raw_csv(spark, path)
 
 
-@register("write_master")
+@register("write_master", MASTER_SQL + "SELECT split, CAST(count(*) AS BIGINT) AS rows FROM master GROUP BY split")
 def q_write_master(spark, sf_dir):
     path = _scratch(spark, "master")
     io.write_master(master(spark, sf_dir), path)
