@@ -10,6 +10,7 @@ from weekpanel.operators import profile as PR
 from weekpanel.operators.eda import real_only
 from weekpanel.plans.oracle import FEATURES
 from weekpanel.schema import MASTER_COLUMNS
+from weekpanel.session import cut_lineage
 from weekpanel.plans.catalog import ADAPTER, MASTER_SQL, master, register, round6
 
 PROFILE_SQL = MASTER_SQL.rstrip() + """,
@@ -275,7 +276,7 @@ from weekpanel.plans.catalog import SERIES_SQL  # noqa: E402
 
 
 def real_series(spark, sf_dir):
-    return _eda.weekly_series(real_only(master(spark, sf_dir)))
+    return cut_lineage(_eda.weekly_series(real_only(master(spark, sf_dir))), "series")
 
 
 def _ma_sql(windows) -> str:
@@ -518,8 +519,6 @@ nat AS (SELECT 'national' AS level, 'ALL' AS series_key, week_start, CAST(sum(ca
 SELECT nat.*, 'observed' AS segment FROM nat, cut WHERE week_start <= d
 UNION ALL SELECT nat.*, 'projected' FROM nat, cut WHERE week_start >= d""")
 def q_series_segments(spark, sf_dir):
-    from weekpanel.session import cut_lineage
-
     # the extended panel feeds two branches: materialise it once
     ext = cut_lineage(XT.extend_panel(_real(spark, sf_dir), EXT), "extended_panel")
     cut = F.broadcast(XT.extension_summary(ext).select("cut_date"))  # one row
