@@ -59,3 +59,18 @@ def test_links_match_all_pairs(spark, least, chunk):
 
 def test_empty_table(spark):
     assert E.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
+
+
+def test_chunk_pairs_meet_once(spark):
+    from weekpanel.llm.blocks import chunk_pairs
+
+    rows = [(g, i, (i * 7 + g) % 3 == 0) for g, n in ((0, 3), (1, 40), (2, 9), (3, 21)) for i in range(n)]
+    df = spark.createDataFrame(rows, "g int, node long, x boolean")
+    met = Counter()
+    groups = {}
+    for r in chunk_pairs(df, ["g"], "node", "x", 6).collect():
+        groups.setdefault((r.g, r.i, r.j), []).append(r)
+    for (g, _, _), members in groups.items():
+        met.update((g, a.node, b.node) for a in members if a.is_left for b in members if b.is_right)
+    want = Counter((g, i, j) for g, i, x in rows if x for h, j, _ in rows if h == g)
+    assert met == want

@@ -35,8 +35,8 @@ BUCKETS = 1 << P_BITS
 ROWS, BANDS = 7, 36  # a pair at similarity 0.85 misses all bands once in a million
 TOP = 11  # texts with 2**TOP shingles or more use one salt
 EMPTY = 0xFFFF
-CHUNK = 512  # members of a split bucket that meet in one task
-COLUMNS = 8192  # shingles of a matrix product
+CHUNK = 1024  # members of a split bucket that meet in one task
+COLUMNS = 4096  # shingles of a matrix product
 LAST_ID = (1 << 63) - 1
 _KEYS = mix(np.arange(5001, 5001 + (1 << TOP) * 2, dtype=U))
 

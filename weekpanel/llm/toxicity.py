@@ -127,9 +127,10 @@ def fit(docs: DataFrame, labelled: DataFrame, max_labelled: int = MAX_LABELLED,
 
 
 def score_texts(docs: DataFrame, model: dict, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` plus score (0 to 1) and predicted (1 from ``threshold`` on).
+    """``docs`` plus score (0 to 1) and predicted (1 from ``threshold`` on); columns of these names are replaced.
 
     Null and empty texts score as texts without features: by the bias alone."""
+    docs = docs.drop("score", "predicted")
     sent = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_WEIGHTS numbers
     keep = docs.columns
 
