@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from weekpanel.operators.metrics import with_class_weights
 from weekpanel.params import DEFAULT, Params
 from weekpanel.schema import FEATURE_CATEGORICAL, FEATURE_NUMERIC, TARGET
+from weekpanel.session import cut_lineage
 
 MODELS = ["random_forest", "xgboost", "gradient_boosting", "logistic_regression", "decision_tree"]
 
@@ -74,14 +75,27 @@ def weight_column(name: str) -> str:
 
 
 def fit(frame: DataFrame, name: str, params: Params = DEFAULT, balanced: bool = True) -> PipelineModel:
-    """Fit preprocessing + one classifier on the train split."""
+    """Fit preprocessing + one classifier on the train split.
+
+    Boosted models add up to ``boost_rounds`` trees and stop early when the
+    error on the val split (never used otherwise) no longer falls."""
     train = frame.filter(F.col("split") == "train")
     wcol = None
     if balanced:
         train = with_class_weights(train, "y", params.balance_if_majority_over)
         wcol = weight_column(name)
     n_train = train.count() if name == "logistic_regression" else None
-    return Pipeline(stages=preprocessor() + [estimator(name, params, wcol, n_train)]).fit(train)
+    clf = estimator(name, params, wcol, n_train)
+    if not isinstance(clf, GBTClassifier):
+        return Pipeline(stages=preprocessor() + [clf]).fit(train)
+    prep = Pipeline(stages=preprocessor()).fit(train)  # on train rows only
+    val = frame.filter(F.col("split") == "val")
+    if balanced:
+        val = val.withColumns({"weight_balanced": F.lit(1.0), "weight_pos": F.lit(1.0)})
+    both = train.withColumn("is_val", F.lit(False)).unionByName(val.withColumn("is_val", F.lit(True)))
+    if not val.isEmpty():
+        clf = clf.setParams(validationIndicatorCol="is_val", validationTol=0.001)
+    return PipelineModel(stages=[*prep.stages, clf.fit(cut_lineage(prep.transform(both), "boost"))])
 
 
 def score(model: PipelineModel, frame: DataFrame, name: str, threshold: float = 0.5) -> DataFrame:
