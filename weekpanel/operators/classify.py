@@ -163,11 +163,13 @@ def tree_table(model: PipelineModel, path: str):
     return trees_of(data.toPandas(), boosted, weights)
 
 
-def tree_shap_values(model: PipelineModel, frame: DataFrame, path: str) -> DataFrame:
+def tree_shap_values(model: PipelineModel, frame: DataFrame, path: str, tree_groups: int = 16) -> DataFrame:
     """Tree SHAP of every row of ``frame``: (unit_id, week_id, feature, phi),
     nonzero contributions only, plus the expected value as feature '_expected'
     on a row without keys. Trees and forests are explained in class-1
-    probability, boosted trees in their margin."""
+    probability, boosted trees in their margin. The trees are dealt into
+    ``tree_groups`` that work side by side and are summed up (most of the work
+    is per leaf, not per row), so (unit_id, week_id) must identify a row."""
     from weekpanel.operators.treeshap import expected_value, explain_rows
 
     trees, names = tree_table(model, path), feature_names(model)
@@ -176,15 +178,19 @@ def tree_shap_values(model: PipelineModel, frame: DataFrame, path: str) -> DataF
     prep = PipelineModel(stages=model.stages[:-1])
     feats = prep.transform(frame).select("unit_id", "week_id", vector_to_array("features").alias("x"))
 
+    groups = max(1, min(tree_groups, len(trees)))
+    each = spark.range(groups).withColumnRenamed("id", "g")  # a fixed handful of rows
+    feats = feats.crossJoin(F.broadcast(each)).repartitionByRange(groups, "g")
+
     def explain(batches):
         for pdf in batches:
-            if not len(pdf):
-                continue
-            phi = explain_rows(sent.value, np.stack(pdf["x"].to_numpy()))
-            r, f = np.nonzero(phi)
-            yield pd.DataFrame({"unit_id": pdf["unit_id"].to_numpy()[r], "week_id": pdf["week_id"].to_numpy()[r],
-                                "feature": np.array(names, object)[f], "phi": phi[r, f]})
+            for g, part in pdf.groupby("g"):
+                phi = explain_rows(sent.value[int(g) :: groups], np.stack(part["x"].to_numpy()))
+                r, f = np.nonzero(phi)
+                yield pd.DataFrame({"unit_id": part["unit_id"].to_numpy()[r], "week_id": part["week_id"].to_numpy()[r],
+                                    "feature": np.array(names, object)[f], "phi": phi[r, f]})
 
     schema = "unit_id string, week_id long, feature string, phi double"
     base = float(sum(expected_value(t) for t in trees))
-    return feats.mapInPandas(explain, schema).unionByName(spark.createDataFrame([(None, None, "_expected", base)], schema))
+    phi = feats.mapInPandas(explain, schema).groupBy("unit_id", "week_id", "feature").agg(F.sum("phi").alias("phi"))
+    return phi.unionByName(spark.createDataFrame([(None, None, "_expected", base)], schema))
