@@ -80,16 +80,14 @@ def _shapley(z: np.ndarray, o: np.ndarray) -> np.ndarray:
     """Contribution of each of d players to prod(z_i or o_i), for patterns o (p x d)."""
     p, d = o.shape
     share = np.array([factorial(k) * factorial(d - 1 - k) / factorial(d) for k in range(d)])
-    out = np.zeros((p, d))
-    for j in range(d):
-        poly = np.zeros((p, d))  # by the number of players that follow
-        poly[:, 0] = 1.0
-        for i in range(d):
-            if i != j:
-                poly[:, 1:] = poly[:, 1:] * z[i] + poly[:, :-1] * o[:, i : i + 1]
-                poly[:, 0] *= z[i]
-        out[:, j] = (poly @ share) * (o[:, j] - z[j])
-    return out
+    poly = np.zeros((p, d, d))  # for each player left out, by the number of others that follow
+    poly[:, :, 0] = 1.0
+    for i in range(d):
+        more = poly * z[i]
+        more[:, :, 1:] += poly[:, :, :-1] * o[:, i, None, None]
+        more[:, i] = poly[:, i]  # a player does not count for itself
+        poly = more
+    return (poly @ share) * (o - z)
 
 
 def tree_phi(tree: Tree, x: np.ndarray) -> np.ndarray:
