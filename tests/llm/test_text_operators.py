@@ -159,6 +159,22 @@ def test_item_copied_everywhere_keeps_its_seeds(spark):
     assert out.where("size(leaks) = 1").count() == 300
 
 
+@pytest.mark.parametrize("copies", [5, 300, 3000])
+@pytest.mark.parametrize("verbatim", [0, 1])
+def test_edited_copy_in_many_texts_keeps_its_seeds(spark, copies, verbatim):
+    """The same edited copies everywhere, with no verbatim copy or a single one beside them."""
+    rng = random.Random(7)
+    items, edited = [], []
+    for k, (m, changed) in enumerate([(20, [9]), (38, [12, 25]), (59, [14, 29, 44])]):
+        w = [f"w{k}x{j}" for j in range(m)]
+        items.append((k, " ".join(w)))
+        edited.append(" ".join("changed" if j in changed else x for j, x in enumerate(w)))
+    rows = [(i, " ".join([*words(rng, 9), *edited, *words(rng, 9)]), "", "", 0) for i in range(copies)]
+    rows += [(copies + i, " ".join(x for _, x in items), "", "", 0) for i in range(verbatim)]
+    out = decontam.mark_leaks(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string"))
+    assert out.where("size(leaks) = 3").count() == copies + verbatim
+
+
 # ---- licenses
 def test_licenses_and_spans(spark):
     rng = random.Random(6)

@@ -1,14 +1,13 @@
-"""Benchmark decontamination by rare n-gram seeds and Smith-Waterman alignment.
+"""Benchmark decontamination by n-gram seeds and Smith-Waterman alignment.
 
 The benchmark is read in blocks of bounded size; a block's n-gram index is sent
-to all tasks and the corpus is scanned, never shuffled. A first scan counts in
-how many texts each n-gram of the block occurs (sums per task, then in all).
-An item's seeds are its rare n-grams: those not much more frequent than the
-rarest quarter of its own, so phrases of common language start no alignment
-while an item that is copied everywhere keeps all its seeds. A second scan joins texts to
-items at the seeds and aligns the whole item in a band around them. An item leaks into a
-text if the matched words reach ``least`` of the alignment, unmatched ends of
-the item and inserted words included; edited copies are found as well."""
+to all tasks and the corpus is scanned once, never shuffled. An item's seeds are
+all its n-grams, however frequent they are. The scan joins texts to items at the
+seeds, leaves out the items of which too few words stand in the text to reach
+``least`` whatever their order, and aligns the others whole in a band around the
+seeds. An item leaks into a text if the matched words reach ``least`` of the
+alignment, unmatched ends of the item and inserted words included; edited copies
+are found as well."""
 
 from __future__ import annotations
 
@@ -23,7 +22,6 @@ from weekpanel.llm.hashing import NO_LETTER, shingles, text_views, word_hashes
 
 N_WORDS = 5
 LEAST = 0.8
-RARE = 4.0
 BLOCK_WORDS = 1_000_000  # of benchmark items in one scan
 
 LEAK = T.StructType([
@@ -50,6 +48,9 @@ class Index:
         self.grams, self.first = np.unique(gram[order], return_index=True)
         self.end = np.append(self.first[1:], len(gram))
         self.lengths = sorted({min(n_words, len(w)) for w in self.words})
+        self.flat = np.concatenate(self.words)
+        self.size = np.array([len(w) for w in self.words])
+        self.start = np.cumsum(self.size) - self.size
 
     def hits(self, words: np.ndarray):
         """(place in the text, n-gram) of the block's n-grams in a text."""
@@ -65,25 +66,14 @@ class Index:
         none = np.zeros(0, int)
         return np.concatenate(at or [none]), np.concatenate(which or [none])
 
-    def keep_rare(self, counts: np.ndarray) -> None:
-        """Drops an item's n-grams that are far more frequent than its rarest quarter."""
-        gram_of = np.repeat(np.arange(len(self.grams)), self.end - self.first)
-        df = counts[gram_of]
-        keep = np.zeros(len(df), bool)
-        for k in range(len(self.words)):
-            mine = np.flatnonzero(self.item == k) if len(self.words) < 64 else self._mine(k)
-            if len(mine):
-                keep[mine] = df[mine] <= RARE * (1 + np.quantile(df[mine], 0.25, method="lower"))
-        self.item, self.place, gram_of = self.item[keep], self.place[keep], gram_of[keep]
-        used, self.first = np.unique(gram_of, return_index=True)
-        self.end = np.append(self.first[1:], len(gram_of))
-        self.grams = self.grams[used]
-
-    def _mine(self, k: int) -> np.ndarray:
-        if not hasattr(self, "_order"):
-            self._order = np.argsort(self.item, kind="stable")
-            self._at = np.searchsorted(self.item[self._order], np.arange(len(self.words) + 1))
-        return self._order[self._at[k] : self._at[k + 1]]
+    def possible(self, items: np.ndarray, words: np.ndarray, least: float) -> np.ndarray:
+        """The items of which enough words for ``least`` stand in ``words``, in any order: no alignment matches more."""
+        n = self.size[items]
+        ahead = np.cumsum(n) - n
+        flat = self.flat[np.repeat(self.start[items] - ahead, n) + np.arange(n.sum())]
+        known = np.unique(words)
+        there = known[np.minimum(np.searchsorted(known, flat), len(known) - 1)] == flat
+        return np.add.reduceat(there, ahead, dtype=np.int64) / n >= least
 
     def leaks(self, words: np.ndarray, least: float) -> list:
         at, which = self.hits(words)
@@ -94,10 +84,13 @@ class Index:
         item, diagonal = self.item[posting], np.repeat(at, n) - self.place[posting]
         order = np.argsort(item, kind="stable")
         found, edge = [], np.flatnonzero(np.diff(item[order], prepend=-1))
-        for lo, hi in zip(edge, np.append(edge[1:], len(order)), strict=True):
+        some = self.possible(item[order[edge]], words, least)
+        for lo, hi in zip(edge[some], np.append(edge[1:], len(order))[some], strict=True):
             k = int(item[order[lo]])
             w, best = self.words[k], None
             for middle, band in clusters(diagonal[order[lo:hi]], len(w)):
+                if np.isin(w, words[max(0, middle - band) : middle + band + len(w)]).sum() / len(w) < least:
+                    continue
                 x = align(w, words, middle, band)
                 if x and (best is None or x.similarity(len(w)) > best.similarity(len(w))):
                     best = x
@@ -142,24 +135,10 @@ def mark_leaks(docs: DataFrame, benchmark: DataFrame, n_words: int = N_WORDS, le
     for index in _blocks(benchmark, n_words, block_words):
         sent = spark.sparkContext.broadcast(index)
 
-        def count(batches, sent=sent):
-            totals = np.zeros(len(sent.value.grams), np.int64)
-            for batch in batches:
-                for words in _words(batch):
-                    totals[np.unique(sent.value.hits(words)[1])] += 1
-            some = np.flatnonzero(totals)
-            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(totals[some])], ["gram", "n"])
-
-        counted = docs.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toPandas()
-        counts = np.zeros(len(index.grams), np.int64)  # as many as the block has n-grams
-        counts[counted.gram.to_numpy(np.int64)] = counted.n
-        index.keep_rare(counts)
-        rare = spark.sparkContext.broadcast(index)
-
-        def mark(batches, rare=rare):
+        def mark(batches, sent=sent):
             for batch in batches:
                 at = batch.schema.get_field_index("leaks")
-                found = [old + rare.value.leaks(words, least) for old, words in zip(batch.column("leaks").to_pylist(), _words(batch), strict=True)]
+                found = [old + sent.value.leaks(words, least) for old, words in zip(batch.column("leaks").to_pylist(), _words(batch), strict=True)]
                 yield batch.set_column(at, "leaks", pa.array(found, pa.list_(_ARROW)))
 
         out = out.mapInArrow(mark, out.schema)
