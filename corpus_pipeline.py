@@ -22,8 +22,8 @@ def clean_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated chunks of lines go; every document stays, n_chars follows its text."""
-    cleaned = line_dedup.dedup_lines(docs.select(*COLUMNS))
+    """Repeated chunks of lines and long lines go; every document stays, n_chars follows its text."""
+    cleaned = line_dedup.dedup_lines(docs.select(*COLUMNS), window=1, long_words=line_dedup.LONG_WORDS)
     return cleaned.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 

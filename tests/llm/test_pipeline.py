@@ -54,3 +54,22 @@ def test_pipeline_against_planted_rows(spark, tmp_path):
     assert set(seen["source mix"]) <= set(seen["decontamination"]) and all(1 <= r.repeats <= 2 for r in seen["source mix"].values())
     whole = P.run(spark, d)
     assert sorted((r.doc_id or -1, r.repeats) for r in whole.collect()) == sorted((k or -1, r.repeats) for k, r in seen["source mix"].items())
+
+
+def test_passages_of_few_lines_go_among_differing_neighbours(spark):
+    """Passages of over 50 words on one to three lines stay once, whatever stands beside them."""
+    rng = random.Random(12)
+    passages = [[" ".join(words(rng, k)) for k in sizes] for sizes in ((55,), (120,), (27, 28), (40, 12), (17, 17, 18), (30, 11, 13)) for _ in range(4)]
+    rows = []
+    for k, passage in enumerate(passages):
+        for j in range(5):
+            before, after = ([" ".join(words(rng, rng.randrange(1, 14))) for _ in range(rng.randrange(1, 4))] for _ in range(2))
+            rows.append((10 * k + j, "\n".join([*before, *passage, *after]), "en", "s", 0))
+    rows += [(1000 + j, passages[0][0], "en", "s", 0) for j in range(2)]  # whole documents: the next stage's
+    out = {r.doc_id: r.text for r in P.dedup_lines(spark, frame(spark, rows), "").collect()}
+    assert out[1000] == out[1001] == passages[0][0]
+    for k, passage in enumerate(passages):
+        for line in passage:
+            assert [j for j in range(5) if line in out[10 * k + j].split("\n")] == ([0] if k else [])
+    for k, text, *_ in rows[:-2]:
+        assert [x for x in text.split("\n") if x not in passages[k // 10]] == [x for x in out[k].split("\n") if x not in passages[k // 10]]

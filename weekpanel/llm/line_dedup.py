@@ -8,6 +8,9 @@ bytes occur more than once in the corpus keeps its first occurrence (smallest
 doc_id, null last, then text hash, then place) and loses the others. Candidates come from
 digests; the decision compares the chunks' bytes.
 
+With ``long_words``, lines of so many words are chunks of their own wherever
+they stand, so a passage on few long lines goes whatever its neighbours are.
+
 All steps are SQL functions; a text's chunks are cut inside its row, so only
 digests and the repeated chunks are shuffled."""
 
@@ -21,6 +24,9 @@ from weekpanel.session import cut_lineage
 WINDOW = 2
 DIVISOR = 3  # a boundary after about every third line
 MIN_LINES = 2
+LONG_WORDS = 10  # of the pipeline: lines of so many words are chunks of their own
+WORD = r"[^\x20\x09-\x0D]+"
+LONG = -1  # in place of a long line's hash
 MODULUS = 2147483647
 FACTOR = 48271
 
@@ -29,11 +35,15 @@ def _line_hash(line):
     return F.conv(F.substring(F.md5(line.cast("binary")), 1, 7), 16, 10).cast("long")
 
 
-def chunks_of(text, window: int = WINDOW, divisor: int = DIVISOR):
+def _n_words(text):
+    return F.regexp_count(text, F.lit(WORD))
+
+
+def chunks_of(text, window: int = WINDOW, divisor: int = DIVISOR, long_words: int | None = None):
     """Column: array of struct(first, last, body) of a text's chunks, lines from 0."""
     # aggregate() binds the lines and hashes once; a plain column would be computed anew at every use
     def cut(lines):
-        hashes = F.transform(lines, _line_hash)
+        hashes = F.transform(lines, lambda x: F.when(_n_words(x) >= long_words, F.lit(LONG)).otherwise(_line_hash(x)) if long_words else _line_hash(x))
 
         def roll(h, i):
             acc = F.element_at(h, i + 1)
@@ -43,7 +53,8 @@ def chunks_of(text, window: int = WINDOW, divisor: int = DIVISOR):
 
         def ends(h):
             last = F.size(h) - 1
-            return F.filter(F.sequence(F.lit(0), last), lambda i: (roll(h, i) % F.lit(divisor) == 0) | (i == last))
+            is_long = lambda i: F.coalesce(F.get(h, i) == LONG, F.lit(False)) if long_words else F.lit(False)
+            return F.filter(F.sequence(F.lit(0), last), lambda i: (roll(h, i) % F.lit(divisor) == 0) | (i == last) | is_long(i) | is_long(i + 1))
 
         def chunk(e):
             return F.transform(e, lambda x, k: F.struct(
@@ -61,43 +72,52 @@ def let(value, body):
 
 
 def _place():
-    return F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("th"), F.col("first"))
+    return F.struct(F.col("inside"), F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("th"), F.col("first"))
 
 
-def dedup_lines(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, min_lines: int = MIN_LINES) -> DataFrame:
+def dedup_lines(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, min_lines: int = MIN_LINES,
+                long_words: int | None = None) -> DataFrame:
     """``docs`` with the text's repeated chunks removed, plus n_lines, n_removed (lines).
 
     Needs doc_id and text; other columns pass through (names starting with
     ``_ld_`` are taken). A null text stays null with 0 lines; an empty text is
     one empty line; a text that loses all lines becomes ''. Rows with the same
     doc_id and text are one document in several rows: they are treated alike
-    and are no repetition of each other. Empty table: no rows."""
+    and are no repetition of each other. Empty table: no rows.
+
+    With ``long_words`` (None: off, the rule of ``dedup_sql``) a line of at least so many words is a
+    chunk, and chunks of so many words count whatever their lines. A text that is one such line is a
+    document, not a passage: it stays, and goes before all others as the occurrence that is kept."""
     base = docs.withColumns({"_ld_th": F.md5(F.col("text").cast("binary"))})
 
+    cut, n_lines = chunks_of(F.col("text"), window, divisor, long_words), F.size(F.split("text", "\n", -1))
+
     def occurrences(body):
-        c = base.where("text is not null").select("doc_id", F.col("_ld_th").alias("th"), F.explode(chunks_of(F.col("text"), window, divisor)).alias("c"))
-        c = c.where(F.col("c.last") - F.col("c.first") + 1 >= min_lines)
-        return c.select("doc_id", "th", "c.first", "c.last", body.alias("body"))
+        c = base.where("text is not null").select("doc_id", F.col("_ld_th").alias("th"), F.explode(cut).alias("c"), n_lines.alias("n_lines"))
+        n = F.col("c.last") - F.col("c.first") + 1
+        c = c.where((n >= min_lines) | (_n_words(F.col("c.body")) >= long_words) if long_words else n >= min_lines)
+        inside = F.col("n_lines") > 1 if long_words else F.lit(True)
+        return c.select("doc_id", "th", "c.first", "c.last", body.alias("body"), inside.alias("inside"))
 
     digest = F.unhex(F.md5(F.col("body").cast("binary")))
     # grouping by the bodies themselves is the byte comparison; equal bodies combine before the shuffle
     groups = occurrences(F.col("c.body")).groupBy("body").agg(F.min(_place()).alias("keep"), F.max(_place()).alias("far"))
     groups = groups.where(F.col("keep") != F.col("far")).select(digest.alias("digest"), "keep")
     places = occurrences(F.unhex(F.md5(F.col("c.body").cast("binary")))).withColumnRenamed("body", "digest")
-    drop = places.join(groups, "digest").where(_place() != F.col("keep"))
+    drop = places.join(groups, "digest").where(F.col("inside") & (_place() != F.col("keep")))
     drop = drop.groupBy("doc_id", "th").agg(F.collect_set("first").alias("_ld_drop"))  # at most a text's own chunks
     drop = cut_lineage(drop.withColumnsRenamed({"doc_id": "_ld_id", "th": "_ld_of"}), "chunks")
     # the list grows with the corpus: a merge join at every size, never a broadcast
     out = base.join(drop.hint("merge"), base["doc_id"].eqNullSafe(F.col("_ld_id")) & (F.col("_ld_th") == F.col("_ld_of")), "left")
     gone = F.col("_ld_drop").isNotNull()
     kept = F.array_join(F.transform(
-        F.filter(chunks_of(F.col("text"), window, divisor), lambda c: ~F.array_contains(F.col("_ld_drop"), c["first"])),
+        F.filter(cut, lambda c: ~F.array_contains(F.col("_ld_drop"), c["first"])),
         lambda c: c["body"]), "\n")
     left = F.aggregate(
-        F.filter(chunks_of(F.col("text"), window, divisor), lambda c: F.array_contains(F.col("_ld_drop"), c["first"])),
+        F.filter(cut, lambda c: F.array_contains(F.col("_ld_drop"), c["first"])),
         F.lit(0), lambda a, c: a + c["last"] - c["first"] + 1)
     return out.withColumns({
-        "n_lines": F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).cast("long"),
+        "n_lines": F.coalesce(n_lines, F.lit(0)).cast("long"),
         "n_removed": F.when(gone, left).otherwise(0).cast("long"),
         "text": F.when(gone, kept).otherwise(F.col("text")),
     }).drop("_ld_th", "_ld_id", "_ld_of", "_ld_drop")
