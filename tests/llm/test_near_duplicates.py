@@ -59,6 +59,21 @@ def test_keep_one_and_empty(spark):
     assert H.near_duplicates(empty).count() == 0
 
 
+@pytest.mark.parametrize("shared", [None, 7])
+def test_rows_without_an_own_id_are_judged_by_text(spark, shared):
+    """Unrelated texts with null ids, or with one shared id, all stay; their copies and near copies go."""
+    rng = random.Random(8)
+    texts = [[f"t{i}w{rng.randrange(500)}" for _ in range(60)] for i in range(6)]
+    near = [["edited", *t[1:]] for t in texts[:2]]
+    rows = [(shared, " ".join(t), "", "", 0) for t in texts + near]
+    rows += [(3, " ".join(texts[4]), "", "", 0), (9, " ".join(texts[5]), "", "", 0), (shared, " ", "", "", 0), rows[2]]
+    docs = frame(spark, rows)
+    kept = Counter((r.doc_id, r.text) for r in H.keep_one(docs, H.near_duplicates(docs)).collect())
+    assert len(kept) == sum(kept.values()) == 7
+    assert {r[0] for r in kept if "t4w" in r[1]} == {3} and {r[0] for r in kept if "t5w" in r[1]} == {shared or 9}
+    assert all(sum(f"t{i}w" in r[1] for r in kept) == 1 for i in range(6)) and (shared, " ") in kept
+
+
 def test_pivot_misses_are_found(spark):
     """Near copies of a centre link to it but often not to each other; no link may be lost."""
     rng = random.Random(5)

@@ -214,7 +214,7 @@ def _settle(n_words: int, percent: int):
 
 
 def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, th, n_shingles, component_id, kept), a row per document.
+    """(doc_id, th, n_shingles, component_id, kept, group), a row per document.
 
     ``docs`` needs doc_id and text; other columns are ignored. Words are runs
     other than ASCII white space with A-Z folded; a set is the distinct shingles of ``n_words``
@@ -223,6 +223,8 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80) -> Dat
     smallest doc_id reachable, itself included (null ids come last), and
     ``kept`` tells whether that is the row's own. Null, empty and blank texts have an empty set and link
     with nothing. Repeated rows are documents like others. ``th`` is the text's 64-bit hash.
+    ``group`` names the component by one of its text hashes, also where rows share an id or have none
+    (null: an empty set).
     Empty table: no rows."""
     base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"), F.xxhash64("text").alias("th"), "text")
     schema = "id long, th long, n long, s1 long, s2 long, main boolean, level int, regs binary"
@@ -236,17 +238,17 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80) -> Dat
         raise ValueError("two different texts share a 64-bit hash; salt xxhash64 and run again")
     links = _links(base, sk, classes, n_words, percent)
     if links is None:
-        comp = classes.select("n", "s1", "s2", F.col("id").alias("component"))
+        comp = classes.select("n", "s1", "s2", F.col("id").alias("component"), F.col("th").alias("group"))
     else:
         found = connected_components(links)
         c = classes.join(found.withColumnRenamed("node", "th"), "th", "left").withColumn("component", F.coalesce("component", "th"))
         low = c.groupBy("component").agg(F.min("id").alias("low"))
-        comp = c.join(low, "component").select("n", "s1", "s2", F.col("low").alias("component"))
+        comp = c.join(low, "component").select("n", "s1", "s2", F.col("low").alias("component"), F.col("component").alias("group"))
     comp = cut_lineage(comp, "components")
     out = main.join(comp, ["n", "s1", "s2"], "left").withColumn("component", F.coalesce("component", "id"))
     null_last = lambda c: F.when(F.col(c) != LAST_ID, F.col(c))
     return out.select(null_last("id").alias("doc_id"), "th", F.col("n").alias("n_shingles"),
-                      null_last("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))
+                      null_last("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept"), "group")
 
 
 def _links(base: DataFrame, sk: DataFrame, classes: DataFrame, n_words: int, percent: int) -> DataFrame | None:
@@ -285,12 +287,14 @@ def _links(base: DataFrame, sk: DataFrame, classes: DataFrame, n_words: int, per
 
 
 def keep_one(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """The documents of ``docs`` that ``found`` keeps, one of each group: the
-    smallest doc_id, and of rows that share it the smallest text hash. Texts
+    """The documents of ``docs`` that stay: one of each group of ``found``, the
+    smallest doc_id (null last) and of rows that share it the smallest text hash. Rows
+    are judged by their text: an id in several rows, or none, makes no duplicates. Texts
     with an empty set all stay. Rows alike in doc_id and text are one row of the result."""
-    blank = F.when(F.col("n_shingles") == 0, F.col("th"))
-    one = found.where("kept").groupBy(F.coalesce("doc_id", F.lit(LAST_ID)).alias("_i"), blank.alias("blank")).agg(F.min("th").alias("_k"))
+    node = found.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("_i"), F.col("th").alias("_k"), "group")
+    own = lambda c: F.when(F.col("group").isNull(), F.col(c))
+    one = node.groupBy("group", own("_i").alias("i"), own("_k").alias("k")).agg(F.min(F.struct("_i", "_k")).alias("one")).select("one._i", "one._k")
     keyed = docs.withColumns({"_i": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), "_k": F.xxhash64("text")})
     # the join reuses the partitions and order of the first step
     alike = keyed.dropDuplicates(["_i", "_k"])
-    return alike.join(one.select("_i", "_k").hint("merge"), ["_i", "_k"], "left_semi").select(*docs.columns)
+    return alike.join(one.hint("merge"), ["_i", "_k"], "left_semi").select(*docs.columns)
