@@ -96,6 +96,18 @@ def test_held_out_labels_do_not_matter(spark):
     assert x == y
 
 
+@pytest.mark.parametrize("same", [True, False])
+def test_one_labelled_id_in_many_rows_leaves_room_for_others(spark, same):
+    ids = [r.id for r in spark.range(60).selectExpr("id", "xxhash64(id) AS h").orderBy("h").collect()]
+    first, others = ids[0], ids[1:]
+    rows = [(first, "same text" if same else f"text number {j}", "", "", 0) for j in range(200)]
+    rows += [(i, f"{'vile' if i % 2 else 'kind'} remark {i}", "", "", 0) for i in others]
+    labels = spark.createDataFrame([(first, 0)] + [(i, i % 2) for i in others], "doc_id long, label int")
+    model = toxicity.fit(frame(spark, rows), labels, max_labelled=60)
+    score = {r.text: r.score for r in toxicity.score_texts(frame(spark, [(1, "vile", "", "", 0), (2, "kind", "", "", 0)]), model).collect()}
+    assert score["vile"] > 0.7 > 0.3 > score["kind"]
+
+
 # ---- decontamination
 def smith_waterman(a, b):
     """Best local score by the full table."""

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weekpanel.llm.hashing import NO_LETTER, U, mix, text_views, word_and_stem_hashes
+from weekpanel.session import cut_lineage
 
 MAX_LABELLED = 20_000  # the fit runs in one task over at most so many texts' features
 MAX_WEIGHTS = 200_000
@@ -110,15 +111,19 @@ def fit(docs: DataFrame, labelled: DataFrame, max_labelled: int = MAX_LABELLED,
     """{"bias", "features", "weights"} from docs (doc_id, text) and labelled (doc_id, label 0/1).
 
     Null labels and ids are ignored; a doc_id labelled twice takes the larger
-    label; no labelled rows give a model that scores 0. The weights are bounded
+    label; no labelled rows give a model that scores 0. A labelled doc_id in several rows counts once for
+    each of its different texts; beyond ``max_labelled`` texts every doc_id keeps at least one. The weights are bounded
     by ``MAX_WEIGHTS`` (the largest are kept)."""
     k = F.xxhash64("doc_id")
     sample = labelled.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
     sample = sample.orderBy(k, "doc_id").limit(max_labelled)
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # at most max_labelled rows of two numbers
     rows = texts.select(k.alias("k"), "label", "text").mapInArrow(_featurize, "k long, label int, f binary")
-    # a doc_id may stand in several rows: the bound holds for rows as well
-    rows = rows.orderBy("k", "f").limit(max_labelled).coalesce(1).sortWithinPartitions("k", "f")
+    # a doc_id may stand in several rows: equal ones are one example, and every doc_id has a place before any has a second
+    rows = cut_lineage(rows.distinct(), "examples")
+    first = rows.groupBy("k").agg(F.min("f").alias("f")).withColumn("later", F.lit(0))
+    rows = rows.join(first.hint("merge"), ["k", "f"], "left").withColumn("later", F.coalesce("later", F.lit(1)))
+    rows = rows.orderBy("later", "k", "f").select("k", "label", "f").limit(max_labelled).coalesce(1).sortWithinPartitions("k", "f")
     fitted = rows.mapInArrow(_fit(min_docs, epochs), "feature long, weight double").toPandas()
     bias = fitted.weight[fitted.feature < 0]
     w = fitted[fitted.feature >= 0]
