@@ -187,6 +187,29 @@ def test_edited_copy_in_many_texts_keeps_its_seeds(spark, copies, verbatim):
     assert out.where("size(leaks) = 3").count() == copies + verbatim
 
 
+@pytest.mark.parametrize("m", [4, 5, 10, 15, 20, 38])
+def test_copies_at_the_bar_have_a_seed(m):
+    """Evenly spaced and random changed, dropped and added words, as many as similarity 0.8 allows."""
+    rng = random.Random(m)
+    item = np.arange(1, m + 1, dtype=np.uint64)
+    index = decontam.Index([(1, item)], decontam.N_WORDS, decontam.LEAST)
+    copies = []
+    for kind in ("change", "drop", "add"):
+        n = m // 4 if kind == "add" else m // 5
+        even = [round((x + 1) * m / (n + 1)) for x in range(n)]
+        for places in [even] + [rng.sample(range(1, m), n) for _ in range(40)]:
+            out = []
+            for j, x in enumerate(item.tolist()):
+                out += [9000 + j] if kind == "add" and j in places else []
+                out += [] if kind == "drop" and j in places else [8000 + j if kind == "change" and j in places else x]
+            copies.append(np.array([7000, 7001, *out, 7002], np.uint64))
+    reach = 0.8 - 1e-9
+    for c in copies:
+        x = align(item, c, 2, m)
+        if x.similarity(m) >= reach:
+            assert [y["item_id"] for y in index.leaks(c, 0.8)] == [1]
+
+
 # ---- licenses
 def test_licenses_and_spans(spark):
     rng = random.Random(6)

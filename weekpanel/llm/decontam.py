@@ -2,7 +2,8 @@
 
 The benchmark is read in blocks of bounded size; a block's n-gram index is sent
 to all tasks and the corpus is scanned once, never shuffled. An item's seeds are
-all its n-grams, however frequent they are. The scan joins texts to items at the
+all its runs of so many words as every copy that reaches ``least`` holds unbroken
+(``seed_length``), however frequent they are. The scan joins texts to items at the
 seeds, leaves out the items of which too few words stand in the text to reach
 ``least`` whatever their order, and aligns the others whole in a band around the
 seeds. An item leaks into a text if the matched words reach ``least`` of the
@@ -11,6 +12,8 @@ are found as well."""
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,15 +33,29 @@ LEAK = T.StructType([
 _ARROW = pa.struct([("item_id", pa.int64()), ("similarity", pa.float64()), ("matched", pa.int32()), ("item_words", pa.int32()), ("first_word", pa.int64()), ("end_word", pa.int64())])
 
 
+@lru_cache(maxsize=4096)
+def seed_length(m: int, n_words: int, least: float) -> int:
+    """Words in a row that every alignment of an item of ``m`` words reaching ``least`` matches, at most ``n_words``.
+
+    With ``lost`` words changed or dropped and ``more`` inserted, the other words stand in at
+    most lost + more + 1 runs."""
+    lost = np.arange(m)
+    lost = lost[(m - lost) / m >= least]
+    if least <= 0 or not len(lost):
+        return 1
+    more = np.floor((m - lost) / least - m + 1e-6)
+    return int(min(n_words, np.ceil((m - lost) / (lost + more + 1)).min()))
+
+
 class Index:
     """Items of one block and where their n-grams stand."""
 
-    def __init__(self, items: list, n_words: int):
+    def __init__(self, items: list, n_words: int, least: float):
         self.ids = [i for i, _ in items]
         self.words = [w for _, w in items]
         gram, item, place = [], [], []
         for k, w in enumerate(self.words):
-            g = shingles(w, n_words)
+            g = shingles(w, seed_length(len(w), n_words, least))
             gram.append(g)
             item.append(np.full(len(g), k))
             place.append(np.arange(len(g)))
@@ -47,7 +64,7 @@ class Index:
         self.item, self.place = item[order], place[order]
         self.grams, self.first = np.unique(gram[order], return_index=True)
         self.end = np.append(self.first[1:], len(gram))
-        self.lengths = sorted({min(n_words, len(w)) for w in self.words})
+        self.lengths = sorted({seed_length(len(w), n_words, least) for w in self.words})
         self.flat = np.concatenate(self.words)
         self.size = np.array([len(w) for w in self.words])
         self.start = np.cumsum(self.size) - self.size
@@ -101,7 +118,7 @@ class Index:
         return found
 
 
-def _blocks(benchmark: DataFrame, n_words: int, block_words: int):
+def _blocks(benchmark: DataFrame, n_words: int, least: float, block_words: int):
     """Indexes over the benchmark, each of about ``block_words`` words."""
     block, size = [], 0
     for row in benchmark.select("item_id", "text").toLocalIterator():
@@ -110,10 +127,10 @@ def _blocks(benchmark: DataFrame, n_words: int, block_words: int):
             block.append((row["item_id"], w))
             size += len(w)
         if size >= block_words:
-            yield Index(block, n_words)
+            yield Index(block, n_words, least)
             block, size = [], 0
     if block:
-        yield Index(block, n_words)
+        yield Index(block, n_words, least)
 
 
 def _words(batch):
@@ -125,14 +142,14 @@ def mark_leaks(docs: DataFrame, benchmark: DataFrame, n_words: int = N_WORDS, le
 
     ``docs`` needs text, ``benchmark`` item_id and text; all columns of docs pass through (one named
     leaks is replaced). Words are runs of letters, digits and non-ASCII
-    bytes with A-Z folded. Items with fewer than ``n_words`` words are one seed; items and texts
-    without words (null, empty) never match. Repeated items give repeated entries, repeated rows are
+    bytes with A-Z folded. Seeds have ``n_words`` words, fewer where a copy at ``least`` may hold
+    only shorter runs; items and texts without words (null, empty) never match. Repeated items give repeated entries, repeated rows are
     marked alike. ``first_word`` and ``end_word`` bound the best alignment in the text's words.
     Empty tables: no rows, or empty arrays."""
     docs = docs.drop("leaks")
     out = docs.withColumn("leaks", F.array().cast(T.ArrayType(LEAK)))
     spark = docs.sparkSession
-    for index in _blocks(benchmark, n_words, block_words):
+    for index in _blocks(benchmark, n_words, least, block_words):
         sent = spark.sparkContext.broadcast(index)
 
         def mark(batches, sent=sent):
