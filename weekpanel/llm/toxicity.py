@@ -121,8 +121,8 @@ def fit(docs: DataFrame, labelled: DataFrame, max_labelled: int = MAX_LABELLED,
     rows = texts.select(k.alias("k"), "label", "text").mapInArrow(_featurize, "k long, label int, f binary")
     # a doc_id may stand in several rows: equal ones are one example, and every doc_id has a place before any has a second
     rows = cut_lineage(rows.distinct(), "examples")
-    first = rows.groupBy("k").agg(F.min("f").alias("f")).withColumn("later", F.lit(0))
-    rows = rows.join(first.hint("merge"), ["k", "f"], "left").withColumn("later", F.coalesce("later", F.lit(1)))
+    first = rows.groupBy("k").agg(F.min(F.xxhash64("f")).alias("d"))  # at most max_labelled rows of two numbers
+    rows = rows.join(F.broadcast(first), "k").withColumn("later", F.xxhash64("f") != F.col("d"))
     rows = rows.orderBy("later", "k", "f").select("k", "label", "f").limit(max_labelled).coalesce(1).sortWithinPartitions("k", "f")
     fitted = rows.mapInArrow(_fit(min_docs, epochs), "feature long, weight double").toPandas()
     bias = fitted.weight[fitted.feature < 0]
