@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from weekpanel.llm import (
+    byte_bpe,
     chat_format,
     decontam,
     embedding_dedup,
     hyperminhash,
+    lexical_search,
     license_scan,
     line_dedup,
     mixing,
+    periodic_runs,
     suffix_dedup,
     toxicity,
     url_filter,
@@ -104,3 +107,30 @@ def op9_decontamination(spark, sf_dir):
     """Pairs of documents and the benchmark items that they hold."""
     docs, benchmark = table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text")
     return decontam.mark_leaks(docs, benchmark).select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
+@register("op11_ranked_search", lexical_search.rank_sql())
+def op11_ranked_search(spark, sf_dir):
+    """The 50 best documents of every benchmark item."""
+    docs, items = table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text")
+    return lexical_search.rank_documents(docs, items)
+
+
+@register("op12_periodic_runs")
+def op12_periodic_runs(spark, sf_dir):
+    """Runs of every document (a tenth of them made periodic), and digests of the runs and of what collapsing them leaves."""
+    docs = periodic_runs.with_planted_run(table(spark, sf_dir, "documents", "doc_id", "text"))
+    marked = periodic_runs.mark_runs(docs).withColumn("best", periodic_runs.strongest("runs"))
+    return marked.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        periodic_runs.runs_digest("runs").alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+@register("op13_byte_bpe")
+def op13_byte_bpe(spark, sf_dir):
+    """Number and digest of every document's tokens, and digest of the text decoded from them."""
+    encoded = byte_bpe.encode_texts(table(spark, sf_dir, "documents", "doc_id", "text")).drop("text")
+    decoded = byte_bpe.decode_ids(encoded)
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), byte_bpe.ids_digest("ids").alias("ids_sha256"),
+                          F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
