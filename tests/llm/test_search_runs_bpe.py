@@ -187,9 +187,9 @@ def test_tokens_equal_the_library(spark, library, monkeypatch):
     got = [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
     want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
     assert got == [*want, [], []]
-    assert [codec.decode(i) for i in got] == [*texts, "", ""]
+    assert [codec.decode(np.array(i, int)).decode() for i in got] == [*texts, "", ""]
     broken = [[i] for i in range(0, 50257, 401)] + [[50256, 447, 13], [447], [127, 0, 255]]
-    assert [codec.decode(i) for i in broken] == library.decode_batch(broken, skip_special_tokens=False)
+    assert [codec.decode(np.array(i)).decode("utf-8", "replace") for i in broken] == library.decode_batch(broken, skip_special_tokens=False)
 
 
 def test_bpe_query_against_the_library(spark, library, tmp_path):

@@ -16,7 +16,7 @@ import json
 import re
 import unicodedata
 from functools import lru_cache
-from itertools import islice
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +36,7 @@ NONE = np.iinfo(np.int32).max
 CHUNK_WORDS = 1 << 17  # words handled at once
 LONG_TEXT = 1 << 20  # characters from which words are not listed at once
 REMEMBER = 1 << 18  # words kept between chunks
-SEND_TOKENS = 1 << 21  # tokens in a batch that is sent on
+SEND_TOKENS = 1 << 20  # bytes of text after which a batch is sent on
 
 
 class Bpe:
@@ -57,18 +57,18 @@ class Bpe:
         self.byte_of = {c: b for b, c in shown.items()}
         ids = model["vocab"]
         self.size = max([*ids.values(), *(t["id"] for t in file["added_tokens"])]) + 1
-        self.symbol = np.array([ids[shown[b]] for b in range(256)], np.int64)
+        self.symbol = np.array([ids[shown[b]] for b in range(256)], np.int32)
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        keys = np.array([ids[a] * self.size + ids[b] for a, b in pairs], np.int64)
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.ranks = keys[order], order.astype(np.int32)
-        self.merged = np.array([ids[a + b] for a, b in pairs], np.int64)
+        self._keep(np.array([ids[a] * self.size + ids[b] for a, b in pairs], np.int64))
+        self.merged = np.array([ids[a + b] for a, b in pairs], np.int32)
         self.special = {t["content"]: t["id"] for t in file["added_tokens"]}
         self.bytes = [b""] * self.size
         for token, i in ids.items():
             self.bytes[i] = bytes(self.byte_of[c] for c in token)
         for token, i in self.special.items():
             self.bytes[i] = token.encode()
+        self.flat_bytes = np.frombuffer(b"".join(self.bytes), np.uint8)
+        self.byte_ends = np.cumsum([len(b) for b in self.bytes])
         self.words = regex.compile(PATTERN)
         longest_first = sorted(self.special, key=len, reverse=True)
         self.at_special = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if self.special else None
@@ -91,10 +91,12 @@ class Bpe:
         if not text.isascii() and is_newer(text):
             # the pattern library may have newer Unicode tables: the file's own library decides what is a letter
             yield [text[a:b] for _, (a, b) in self._cutter().pre_tokenize_str(text)]
-        elif len(text) < LONG_TEXT:
-            yield self.words.findall(text)
+            return
+        words = self.words if _BEYOND_LATIN.search(text) else latin_words()
+        if len(text) < LONG_TEXT:
+            yield words.findall(text)
         else:
-            found = (m[0] for m in self.words.finditer(text))
+            found = (m[0] for m in words.finditer(text))
             while part := list(islice(found, CHUNK_WORDS)):
                 yield part
 
@@ -105,38 +107,77 @@ class Bpe:
         return pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
 
     # ---- merges
+    def _keep(self, keys: np.ndarray):
+        """An open hash table from pairs (left * size + right) to their ranks."""
+        self.slots = 1 << max(4, int(4 * len(keys)).bit_length())
+        self.key, self.key_rank = np.full(self.slots, -1, np.int64), np.full(self.slots, NONE, np.int32)
+        at, left = self._slot(keys), np.arange(len(keys))
+        while len(left):
+            free = left[self.key[at[left]] < 0]
+            self.key[at[free]] = keys[free]  # of those that want one slot the last one gets it
+            won = free[self.key[at[free]] == keys[free]]
+            self.key_rank[at[won]] = won
+            left = np.setdiff1d(left, won)
+            at[left] = (at[left] + 1) & (self.slots - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(65 - self.slots.bit_length())).astype(np.int64)
+
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Ranks of pairs of symbols, NONE where they do not merge or one is missing (-1)."""
-        keys = left * self.size + right
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where((left >= 0) & (right >= 0) & (self.keys[at] == keys), self.ranks[at], NONE)
+        keys = left.astype(np.int64) * self.size + right
+        keys[(left < 0) | (right < 0)] = -2
+        at = self._slot(keys)
+        found = self.key[at]
+        out = np.where(found == keys, self.key_rank[at], NONE)
+        on = np.flatnonzero((found != keys) & (found >= 0))
+        while len(on):
+            at[on] = (at[on] + 1) & (self.slots - 1)
+            found = self.key[at[on]]
+            hit = found == keys[on]
+            out[on[hit]] = self.key_rank[at[on[hit]]]
+            on = on[~hit & (found >= 0)]
+        return out
+
+    @lru_cache(maxsize=1)  # noqa: B019
+    def _byte_ranks(self) -> np.ndarray:
+        left, right = np.divmod(np.arange(1 << 16), 256)
+        return self.rank(self.symbol[left], self.symbol[right])
 
-    def merge_rows(self, words: list[bytes], width: int) -> list[np.ndarray]:
-        """Symbols of words of at most ``width`` bytes each."""
+    def merge_rows(self, words: list[bytes], width: int):
+        """(order, lengths, symbols): words of at most ``width`` bytes each in the order in which they are done."""
         lengths = np.array([len(w) for w in words])
-        symbols = np.full((len(words), width + 1), -1, np.int64)
-        symbols[:, :width][np.arange(width) < lengths[:, None]] = self.symbol[np.frombuffer(b"".join(words), np.uint8)]
+        inside = np.arange(width) < lengths[:, None]
+        raw = np.zeros((len(words), width + 1), np.uint8)
+        raw[:, :width][inside] = np.frombuffer(b"".join(words), np.uint8)
+        symbols = np.full((len(words), width + 1), -1, np.int32)
+        symbols[:, :width][inside] = self.symbol[raw[:, :width][inside]]
         ranks = np.full((len(words), width + 1), NONE, np.int32)
-        ranks[:, :width] = self.rank(symbols[:, :-1], symbols[:, 1:])
-        done: list = [None] * len(words)
-        row, columns = np.arange(len(words)), np.arange(width + 1)
+        pair = inside[:, 1:]
+        ranks[:, : width - 1][pair] = self._byte_ranks()[raw[:, : width - 1][pair].astype(np.int64) * 256 + raw[:, 1:width][pair]]
+        row, columns, done = np.arange(len(words)), np.arange(width), []
         while len(row):
             j = ranks.argmin(1)
-            at = np.arange(len(row))
-            least = ranks[at, j]
-            for r, s in zip(row[least == NONE].tolist(), symbols[least == NONE], strict=True):
-                done[r] = s[s >= 0]
+            least = ranks[np.arange(len(row)), j]
             on = least < NONE
-            row, symbols, ranks, j, least = row[on], symbols[on], ranks[on], j[on], least[on]
+            if not on.all():
+                rest = symbols[~on]
+                done.append((row[~on], (rest >= 0).sum(1), rest[rest >= 0]))
+                row, symbols, ranks, j, least = row[on], symbols[on], ranks[on], j[on], least[on]
             at = np.arange(len(row))
             symbols[at, j] = self.merged[least]
             # the boundary behind j goes: all that follows moves up by one
-            source = np.minimum(columns + (columns > j[:, None]), width)
-            symbols, ranks = np.take_along_axis(symbols, source, 1), np.take_along_axis(ranks, source, 1)
-            ranks[at, j] = self.rank(symbols[at, j], symbols[at, np.minimum(j + 1, width)])
+            behind = columns > j[:, None]
+            symbols[:, :-1] = np.where(behind, symbols[:, 1:], symbols[:, :-1])
+            ranks[:, :-1] = np.where(behind, ranks[:, 1:], ranks[:, :-1])
+            symbols[:, -1], ranks[:, -1] = -1, NONE
+            ranks[at, j] = self.rank(symbols[at, j], symbols[at, j + 1])
             before = np.flatnonzero(j > 0)
-            ranks[before, j[before] - 1] = self.rank(symbols[before, j[before] - 1], symbols[before, j[before]])
-        return done
+            k = j[before]
+            ranks[before, k - 1] = self.rank(symbols[before, k - 1], symbols[before, k])
+        order, counts, flat = zip(*done, strict=True)
+        return np.concatenate(order), np.concatenate(counts), np.concatenate(flat)
 
     def merge_long(self, word: bytes) -> np.ndarray:
         """Symbols of one long word: least rank first, leftmost on ties, from a heap."""
@@ -164,22 +205,22 @@ class Bpe:
 
     @lru_cache(maxsize=1)  # noqa: B019
     def _pairs(self) -> dict:
-        return {divmod(k, self.size): r for k, r in zip(self.keys.tolist(), self.ranks.tolist(), strict=True)}
-
-    def merge(self, words: list[bytes]) -> list[np.ndarray]:
-        out: list = [None] * len(words)
-        low = 0
-        for width in WIDTHS:
-            own = [i for i, w in enumerate(words) if low < len(w) <= width]
-            for lo in range(0, len(own), CHUNK_WORDS):
-                part = own[lo : lo + CHUNK_WORDS]
-                for i, s in zip(part, self.merge_rows([words[i] for i in part], width), strict=True):
-                    out[i] = s
-            low = width
-        for i, w in enumerate(words):
-            if len(w) > low:
-                out[i] = self.merge_long(w)
-        return out
+        some = self.key >= 0
+        return {divmod(k, self.size): r for k, r in zip(self.key[some].tolist(), self.key_rank[some].tolist(), strict=True)}
+
+    def merge(self, words: list[bytes]):
+        """(order, lengths, symbols): the words' places in some order, and their symbols in that order."""
+        kind = np.searchsorted(WIDTHS, np.fromiter(map(len, words), np.int64, len(words)))
+        out = []
+        for c, width in enumerate(WIDTHS):
+            own = np.flatnonzero(kind == c)
+            if len(own):
+                order, counts, flat = self.merge_rows([words[i] for i in own], width)
+                out.append((own[order], counts, flat))
+        for i in np.flatnonzero(kind == len(WIDTHS)):
+            flat = self.merge_long(words[i])
+            out.append(([i], [len(flat)], flat))
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
     # ---- texts
     def forget(self):
@@ -187,18 +228,19 @@ class Bpe:
         self.flat, self.start = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     def learn(self, words: set):
-        """Tokens of words not seen yet."""
-        if len(self.place) > REMEMBER or len(self.flat) > 8 * REMEMBER:
-            self.forget()
-        new = [w for w in words if w not in self.place]
-        if not new:
-            return
-        special = [w for w in new if isinstance(w, tuple)]
-        new = [w for w in new if not isinstance(w, tuple)]
-        tokens = self.merge([w.encode() for w in new]) + [np.array(w) for w in special]
-        self.place.update(zip(new + special, range(len(self.place), len(self.place) + len(tokens)), strict=True))
-        self.start = np.concatenate((self.start, self.start[-1] + np.cumsum([len(t) for t in tokens])))
-        self.flat = np.concatenate((self.flat, *tokens)).astype(np.int32)
+        """Tokens of words not known yet."""
+        known = len(self.place)
+        special = [w for w in words if isinstance(w, tuple)]
+        plain = [w for w in words if not isinstance(w, tuple)] if special else list(words)
+        counts, flat = [], []
+        if plain:
+            order, n, symbols = self.merge([w.encode() for w in plain])
+            plain = [plain[i] for i in order.tolist()]
+            counts, flat = [n], [symbols]
+        self.place.update(zip(plain + special, range(known, known + len(words)), strict=True))
+        counts = np.concatenate([*counts, np.ones(len(special), np.int64)])
+        self.start = np.concatenate((self.start, self.start[-1] + np.cumsum(counts)))
+        self.flat = np.concatenate((self.flat, *flat, np.array([w[0] for w in special], np.int32))).astype(np.int32)
 
     def encode(self, texts: list):
         """Token ids of the texts one behind the other, and how many each has (null: none)."""
@@ -216,17 +258,34 @@ class Bpe:
         return np.concatenate(parts) if parts else np.zeros(0, np.int32), counts
 
     def _tokens(self, words: list, owner: list, held: list, counts: np.ndarray) -> np.ndarray:
-        self.learn(set(words))
-        k = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        if len(self.place) > REMEMBER or len(self.flat) > 8 * REMEMBER:
+            self.forget()
+        k = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(k < 0)
+        if len(new):
+            missing = [words[i] for i in new.tolist()]
+            self.learn(set(missing))
+            k[new] = np.fromiter(map(self.place.__getitem__, missing), np.int64, len(missing))
         start, n = self.start[k], self.start[k + 1] - self.start[k]
         counts += np.bincount(np.repeat(owner, held), n, len(counts)).astype(np.int64)
-        ends = np.cumsum(n)
-        return self.flat[np.arange(ends[-1]) + np.repeat(start - ends + n, n)]
+        return self.flat[_spread(start, n)]
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        """Bytes of token ids; ids out of the vocabulary give none."""
+        parts = []
+        for lo in range(0, len(ids), CHUNK_WORDS):
+            some = ids[lo : lo + CHUNK_WORDS]
+            some = some[(some >= 0) & (some < self.size)]
+            ends = self.byte_ends[some]
+            n = ends - np.where(some > 0, self.byte_ends[some - 1], 0)
+            parts.append(self.flat_bytes[_spread(ends - n, n)].tobytes())
+        return b"".join(parts)
+
 
-    def decode(self, ids) -> str:
-        """Text of token ids; bytes that are no UTF-8 become U+FFFD, ids out of the vocabulary nothing."""
-        known, size = self.bytes, self.size
-        return b"".join([known[i] for i in ids if i is not None and 0 <= i < size]).decode("utf-8", "replace")
+def _spread(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """start[0], ..., start[0] + n[0] - 1, start[1], ... as one array of places."""
+    ends = np.cumsum(n)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - ends + n, n)
 
 
 @lru_cache(maxsize=2)
@@ -237,6 +296,17 @@ def bpe(path: str) -> Bpe:
 _MAY_BE_NEWER = re.compile("[\u0378-\U0010ffff]")  # U+0378 is the first code point without a character
 
 
+_BEYOND_LATIN = re.compile("[^\x00-\u024f]")
+
+
+@lru_cache(maxsize=1)
+def latin_words():
+    """The same pattern for texts up to U+024F, whose letters and digits are settled: the plain pattern library is faster."""
+    kinds = {k: "".join(c for c in map(chr, range(0x250)) if unicodedata.category(c)[0] == k) for k in "LN"}
+    letter, digit, space = kinds["L"], kinds["N"], "\t-\r \x85\xa0"
+    return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{digit}]+| ?[^{space}{letter}{digit}]+|[{space}]+(?![^{space}])|[{space}]+")
+
+
 def is_newer(text: str) -> bool:
     """Whether ``text`` holds a code point that Python's Unicode tables do not know."""
     return bool(_MAY_BE_NEWER.search(text)) and any(unicodedata.category(c) == "Cn" for c in set(text))
@@ -263,8 +333,14 @@ def _decode(path: str, column: str, out: str):
     def run(batches):
         codec = bpe(path)
         for batch in batches:
-            texts = pa.array([None if ids is None else codec.decode(ids) for ids in batch.column(column).to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, texts], [*batch.schema.names, out])
+            done, texts, size = 0, [], 0
+            for i, ids in enumerate(batch.column(column)):
+                texts.append(codec.decode(ids.values.to_numpy(zero_copy_only=False)).decode("utf-8", "replace") if ids.is_valid else None)
+                size += len(texts[-1] or "")
+                if size >= SEND_TOKENS or i + 1 == batch.num_rows:
+                    part = batch.slice(done, len(texts))
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, out])
+                    done, texts, size = i + 1, [], 0
 
     return run
 
