@@ -1,11 +1,13 @@
-"""Classifiers on the modelling frame with pyspark.ml.
+"""Classifiers on the modelling frame.
 
 Preprocessing is fitted on train rows only: numeric features NULL -> 0 and
 standardised, region one-hot encoded with unseen / missing regions encoded as
-all zeros. Five classifiers: random forest, two gradient-boosted tree models
-(positive-class weight and balanced class weight; Spark has no third-party
-booster, GBT stands in for both), logistic regression and a decision tree.
-Training is distributed by pyspark.ml; only fitted models reach the driver."""
+all zeros. Five classifiers: a random forest and a decision tree of
+``pyspark.ml``; two boosted models that differ in kind, a second-order one
+(``operators.newton``, positive-class weight) and ``pyspark.ml``'s first-order
+one (balanced class weight); and a logistic regression by Newton steps
+(``operators.logistic``). The prepared, weighted train rows are written once
+for all models. Only fitted models reach the driver."""
 
 from __future__ import annotations
 
@@ -16,7 +18,6 @@ from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassificationModel,
     GBTClassifier,
-    LogisticRegression,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
@@ -24,7 +25,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weekpanel.operators.logistic import fit_logistic
 from weekpanel.operators.metrics import with_class_weights
+from weekpanel.operators.newton import NewtonModel, fit_newton
 from weekpanel.params import DEFAULT, Params
 from weekpanel.schema import FEATURE_CATEGORICAL, FEATURE_NUMERIC, TARGET
 from weekpanel.session import cut_lineage
@@ -50,20 +53,16 @@ def preprocessor() -> list:
     ]
 
 
-def estimator(name: str, params: Params = DEFAULT, weight_col: str | None = None, n_train: int | None = None):
+def estimator(name: str, params: Params = DEFAULT, weight_col: str | None = None):
+    """The ``pyspark.ml`` estimator of a model that has one."""
     common = dict(featuresCol="features", labelCol="y")
     if weight_col:
         common["weightCol"] = weight_col
     if name == "random_forest":
         return RandomForestClassifier(numTrees=params.rf_trees, maxDepth=params.rf_depth,
                                       minInstancesPerNode=params.rf_min_leaf, seed=params.seed, **common)
-    if name in ("xgboost", "gradient_boosting"):
-        return GBTClassifier(maxIter=params.boost_rounds, stepSize=params.boost_rate, maxDepth=3 if name == "gradient_boosting" else 6,
-                             seed=params.seed, **common)
-    if name == "logistic_regression":
-        # L2 strength 1 / n on the mean loss (C = 1 on the summed loss), on the inputs as they stand
-        return LogisticRegression(maxIter=1000, regParam=1.0 / max(n_train or 1, 1), elasticNetParam=0.0,
-                                  standardization=False, **common)
+    if name == "gradient_boosting":
+        return GBTClassifier(maxIter=params.boost_rounds, stepSize=params.boost_rate, maxDepth=3, seed=params.seed, **common)
     if name == "decision_tree":
         return DecisionTreeClassifier(maxDepth=params.tree_depth, minInstancesPerNode=params.tree_min_leaf,
                                       seed=params.seed, **common)
@@ -74,28 +73,44 @@ def weight_column(name: str) -> str:
     return "weight_pos" if name == "xgboost" else "weight_balanced"
 
 
+def prepare(frame: DataFrame, params: Params = DEFAULT) -> tuple[PipelineModel, DataFrame]:
+    """(fitted preprocessing, table of the transformed train rows with both class weights), for any number of fits."""
+    train = frame.filter(F.col("split") == "train")
+    prep = Pipeline(stages=preprocessor()).fit(train)
+    rows = prep.transform(with_class_weights(train, "y", params.balance_if_majority_over))
+    rows = rows.withColumn("x", vector_to_array("features")).select("features", "x", "y", "weight_balanced", "weight_pos")
+    return prep, cut_lineage(rows, "train")
+
+
+def fit_prepared(prep: PipelineModel, rows: DataFrame, name: str, params: Params = DEFAULT, balanced: bool = True) -> PipelineModel:
+    """One classifier on the rows of ``prepare``, behind its preprocessing. Boosted models fit all ``boost_rounds``."""
+    weighted = rows.withColumn("w", F.col(weight_column(name)) if balanced else F.lit(1.0))
+    if name == "xgboost":
+        clf = fit_newton(weighted, params.boost_rounds, params.boost_rate, params.newton_depth, params.newton_l2)
+    elif name == "logistic_regression":
+        clf = fit_logistic(weighted, params.logistic_l2)  # on the sum of losses, intercept free, inputs as they stand
+    else:
+        clf = estimator(name, params, "w" if balanced else None).fit(weighted)
+    return PipelineModel(stages=[*prep.stages, clf])
+
+
 def fit(frame: DataFrame, name: str, params: Params = DEFAULT, balanced: bool = True) -> PipelineModel:
-    """Fit preprocessing + one classifier on the train split.
+    """Fit preprocessing + one classifier on the train split."""
+    return fit_prepared(*prepare(frame, params), name, params, balanced)
 
-    Boosted models add up to ``boost_rounds`` trees and stop early when the
-    error on the val split (never used otherwise) no longer falls."""
-    train = frame.filter(F.col("split") == "train")
-    wcol = None
-    if balanced:
-        train = with_class_weights(train, "y", params.balance_if_majority_over)
-        wcol = weight_column(name)
-    n_train = train.count() if name == "logistic_regression" else None
-    clf = estimator(name, params, wcol, n_train)
-    if not isinstance(clf, GBTClassifier):
-        return Pipeline(stages=preprocessor() + [clf]).fit(train)
-    prep = Pipeline(stages=preprocessor()).fit(train)  # on train rows only
-    val = frame.filter(F.col("split") == "val")
-    if balanced:
-        val = val.withColumns({"weight_balanced": F.lit(1.0), "weight_pos": F.lit(1.0)})
-    both = train.withColumn("is_val", F.lit(False)).unionByName(val.withColumn("is_val", F.lit(True)))
-    if not val.isEmpty():
-        clf = clf.setParams(validationIndicatorCol="is_val", validationTol=0.001)
-    return PipelineModel(stages=[*prep.stages, clf.fit(cut_lineage(prep.transform(both), "boost"))])
+
+def fit_models(frame: DataFrame, names=MODELS, params: Params = DEFAULT, at_once: int = 4) -> dict[str, PipelineModel]:
+    """Classifiers by name; a name ending in ``_plain`` is fitted without class weights. The train rows are
+    prepared once, and ``at_once`` models are fitted side by side (a fit is many small jobs one after the other)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    prep, rows = prepare(frame, params)
+
+    def one(name: str) -> PipelineModel:
+        return fit_prepared(prep, rows, name.removesuffix("_plain"), params, not name.endswith("_plain"))
+
+    with ThreadPoolExecutor(max(1, at_once)) as pool:
+        return dict(zip(names, pool.map(one, names), strict=True))
 
 
 def score(model: PipelineModel, frame: DataFrame, name: str, threshold: float = 0.5) -> DataFrame:
@@ -112,7 +127,7 @@ def linear_shap(model: PipelineModel, frame: DataFrame, background: DataFrame) -
     (unit_id, week_id, feature, phi). The coefficient and mean vectors are
     model-sized (features), not data-sized."""
     lr = model.stages[-1]
-    coef = [float(c) for c in lr.coefficients.toArray()]
+    coef = [float(c) for c in np.asarray(lr.coefficients)]
     prep = PipelineModel(stages=model.stages[:-1])
     names = feature_names(model)
     bg = prep.transform(background).select(vector_to_array("features").alias("v"))
@@ -153,6 +168,8 @@ def tree_table(model: PipelineModel, path: str):
     from weekpanel.operators.treeshap import trees_of
 
     clf = model.stages[-1]
+    if isinstance(clf, NewtonModel):
+        return clf.trees()
     clf.write().overwrite().save(path)
     spark = SparkSession.getActiveSession()
     data = spark.read.parquet(f"{path.rstrip('/')}/data")
@@ -191,6 +208,6 @@ def tree_shap_values(model: PipelineModel, frame: DataFrame, path: str, tree_gro
                                     "feature": np.array(names, object)[f], "phi": phi[r, f]})
 
     schema = "unit_id string, week_id long, feature string, phi double"
-    base = float(sum(expected_value(t) for t in trees))
+    base = float(sum(expected_value(t) for t in trees)) + getattr(model.stages[-1], "base", 0.0)
     phi = feats.mapInPandas(explain, schema).groupBy("unit_id", "week_id", "feature").agg(F.sum("phi").alias("phi"))
     return phi.unionByName(spark.createDataFrame([(None, None, "_expected", base)], schema))

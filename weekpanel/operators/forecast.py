@@ -3,14 +3,15 @@
 
 * Moving average, errors, backtest windows and future weeks are SQL
   expressions and windows partitioned by series.
-* The damped Holt-Winters fit runs once per (series, window) in
-  ``groupBy(...).applyInPandas``: every group is one series of at most the
-  calendar length, so groups are bounded whatever the data volume, and the
-  series are spread over tasks by the hash shuffle on the series key."""
+* The damped Holt-Winters fit takes whole series as rows (an array of at most
+  the calendar length, whatever the data volume), dealt out by a hash of the
+  series key. A task fits the series of an Arrow batch together, all evaluation
+  windows of a series in the same pass."""
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -67,32 +68,71 @@ def errors(preds: DataFrame) -> DataFrame:
     )
 
 
-def _hw_schema():
-    return "level string, series_key string, eval_window int, t int, pred double, lower double, upper double"
+def _whole_series(series: DataFrame) -> DataFrame:
+    """One row per series with its counts in date order, spread over all cores."""
+    rows = series.groupBy(*SERIES).agg(F.array_sort(F.collect_list(F.struct("week_start", "cases"))).alias("s"))
+    parts = int(series.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.select(*SERIES, F.transform("s", lambda p: p["cases"].cast("double")).alias("y")).repartition(parts, *SERIES)
+
+
+def _counts(column) -> list:
+    return [np.asarray(y.values.to_numpy(zero_copy_only=False)) for y in column]
+
+
+def _table(batch, at: np.ndarray, **columns) -> pa.RecordBatch:
+    """Rows for places ``at`` of the batch's series."""
+    keys = [batch.column(c).take(pa.array(at)) for c in SERIES]
+    return pa.RecordBatch.from_arrays([*keys, *(pa.array(v) for v in columns.values())], [*SERIES, *columns])
 
 
 def hw_backtest(series: DataFrame, windows=(13,), ma_window: int = 4, period: int = 52) -> DataFrame:
-    """Holt-Winters predictions of the held-out points, one fit per (series, window)."""
-    pos = with_positions(series)
-    ok = eligible(pos, windows, ma_window)
-    j = pos.join(ok, SERIES).select(*SERIES, "eval_window", "t", "n", "cases")
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("t")
-        v = int(pdf["eval_window"].iloc[0])
-        n = int(pdf["n"].iloc[0])
-        train = pdf["cases"].to_numpy()[: n - v]
-        pred, lo, hi = smoothing.forecast_counts(train, v, period)
-        return pd.DataFrame({
-            "level": pdf["level"].iloc[0], "series_key": pdf["series_key"].iloc[0], "eval_window": v,
-            "t": range(n - v, n), "pred": pred, "lower": lo, "upper": hi,
-        })
-
-    hw = j.groupBy(*SERIES, "eval_window").applyInPandas(run, _hw_schema())
-    actual = pos.select(*SERIES, "t", F.col("cases").alias("actual"))
-    return hw.join(actual, [*SERIES, "t"]).select(*SERIES, "eval_window", "t", "actual", "pred").withColumn(
-        "model", F.lit("holt_winters")
-    )
+    """Holt-Winters predictions of the held-out points of every eligible (series, window)."""
+    windows = sorted(int(v) for v in windows)
+
+    def run(batches):
+        for batch in batches:
+            ys = _counts(batch.column("y"))
+            pairs = [(i, v) for i, y in enumerate(ys) for v in windows if len(y) > v + 2 * ma_window and y.max(initial=0.0) > 0]
+            if not pairs:
+                continue
+            pred, lo, hi = smoothing.forecast_counts([ys[i][:-v] for i, v in pairs], windows[-1], period)
+            v = np.array([v for _, v in pairs])
+            inside = np.arange(windows[-1]) < v[:, None]
+            at = np.repeat([i for i, _ in pairs], v)
+            t = (np.array([len(ys[i]) for i, _ in pairs]) - v)[:, None] + np.arange(windows[-1])
+            actual = np.concatenate([ys[i][-w:] for i, w in pairs])
+            yield _table(batch, at, eval_window=np.repeat(v, v).astype(np.int32), t=t[inside].astype(np.int32), actual=actual, pred=pred[inside], lower=lo[inside], upper=hi[inside])
+
+    schema = "level string, series_key string, eval_window int, t int, actual double, pred double, lower double, upper double"
+    hw = _whole_series(series).mapInArrow(run, schema)
+    return hw.select(*SERIES, "eval_window", "t", "actual", "pred").withColumn("model", F.lit("holt_winters"))
+
+
+def hw_states(series: DataFrame, params, period: int = 52) -> DataFrame:
+    """The recursion of every series at given parameters (alpha, beta, gamma, phi) on the log scale: (n,
+    last_level, last_trend, sse, next)."""
+    given = np.array(params, float)
+
+    def run(batches):
+        for batch in batches:
+            ys = _counts(batch.column("y"))
+            for seasonal in (False, True):
+                at = np.array([i for i, y in enumerate(ys) if len(y) and (len(y) >= 2 * period) == seasonal], np.int64)
+                if not len(at):
+                    continue
+                n = np.array([len(ys[i]) for i in at])
+                order = np.argsort(-n, kind="stable")
+                at, n = at[order], n[order]
+                y = np.zeros((len(at), n[0]))
+                for row, i in enumerate(at):
+                    y[row, : len(ys[i])] = np.log1p(np.clip(ys[i], 0, None))
+                use = np.tile(given if seasonal else given * [1, 1, 0, 1], (1, len(at), 1))
+                level, trend, season, sse, _ = smoothing.recursion(y, n, use, period, seasonal)
+                fit = smoothing.Fit(level[0], trend[0], season[:, 0], use[0], sse[0], sse[0], n)
+                ahead = smoothing.forecast(fit, 1, period, seasonal)[:, 0]
+                yield _table(batch, at, n=n.astype(np.int32), last_level=level[0], last_trend=trend[0], sse=sse[0], next=ahead)
+
+    return _whole_series(series).mapInArrow(run, "level string, series_key string, n int, last_level double, last_trend double, sse double, next double")
 
 
 def backtest(series: DataFrame, windows=(13,), ma_window: int = 4, period: int = 52) -> DataFrame:
@@ -127,22 +167,18 @@ def forecast_future(series: DataFrame, steps: int = 4, min_points: int | None =
     bounds. Series shorter than eval_weeks + 3 * ma_window points, or all
     zero, get no forecast."""
     min_points = eval_weeks + 3 * ma_window if min_points is None else min_points
-    pos = with_positions(series)
-    stats = pos.groupBy(*SERIES).agg(F.max("n").alias("n_"), F.max("cases").alias("mx"))
-    keep = stats.filter((F.col("n_") >= min_points) & (F.col("mx") > 0)).select(*SERIES)
-    j = pos.join(keep, SERIES).select(*SERIES, "t", "cases")
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("t")
-        pred, lo, hi = smoothing.forecast_counts(pdf["cases"].to_numpy(), steps, period)
-        return pd.DataFrame({
-            "level": pdf["level"].iloc[0], "series_key": pdf["series_key"].iloc[0], "step": range(1, steps + 1),
-            "forecast": pred, "lower": lo, "upper": hi,
-        })
-
-    f = j.groupBy(*SERIES).applyInPandas(
-        run, "level string, series_key string, step int, forecast double, lower double, upper double"
-    )
+
+    def run(batches):
+        for batch in batches:
+            ys = _counts(batch.column("y"))
+            at = np.array([i for i, y in enumerate(ys) if len(y) >= min_points and y.max(initial=0.0) > 0], np.int64)
+            if not len(at):
+                continue
+            point, lo, hi = smoothing.forecast_counts([ys[i] for i in at], steps, period)
+            step = np.tile(np.arange(1, steps + 1, dtype=np.int32), len(at))
+            yield _table(batch, np.repeat(at, steps), step=step, forecast=point.ravel(), lower=lo.ravel(), upper=hi.ravel())
+
+    f = _whole_series(series).mapInArrow(run, "level string, series_key string, step int, forecast double, lower double, upper double")
     return f.join(future_weeks(series, steps, period), [*SERIES, "step"])
 
 

@@ -19,6 +19,9 @@ class Params:
     rf_min_leaf: int = 20
     boost_rounds: int = 200
     boost_rate: float = 0.10
+    newton_depth: int = 6
+    newton_l2: float = 1.0
+    logistic_l2: float = 1.0
     tree_depth: int = 12
     tree_min_leaf: int = 20
     threshold: float = 0.50

@@ -128,20 +128,112 @@ def q_cluster_share(spark, sf_dir):
     return PR.cluster_share(m, PR.intensity_buckets(prof, 3))
 
 
-@register("unit_clusters")
+def _u(parts: str) -> str:
+    return f"((CAST(('0x' || substr(md5(concat_ws('|', {parts}, '42')), 1, 8)) AS UBIGINT) + 0.5) / 4294967296.0)"
+
+
+_D = range(len(PR.CLUSTER_COLS))
+
+
+def _points_sql() -> str:
+    stats = ", ".join(f"avg({c}) AS m{i}, stddev_pop({c}) AS s{i}" for i, c in enumerate(PR.CLUSTER_COLS))
+    zs = ", ".join(f"CASE WHEN s{i} > 0 THEN ({c} - m{i}) / s{i} ELSE 0.0 END" for i, c in enumerate(PR.CLUSTER_COLS))
+    return PROFILE_SQL.rstrip() + f""",
+zst AS (SELECT {stats} FROM prof),
+pt AS (SELECT unit_id, [{zs}] AS v FROM prof, zst)"""
+
+
+def _square(a: str, b: str) -> str:
+    return "(" + " + ".join(f"({a}[{i + 1}] - {b}[{i + 1}]) * ({a}[{i + 1}] - {b}[{i + 1}])" for i in _D) + ")"
+
+
+def _kmeans_sql(ks: str) -> str:
+    """Hashed D^2 starts, Lloyd steps as a recursive query over all runs, the best run of each k: km(k, cs, inertia), klab(k, unit_id, cluster, v)."""
+    k_high = ADAPTER.k_max
+    steps = ["s1 AS (SELECT k, start, [arg_min(v, (-ln(" + _u("unit_id, CAST(k AS VARCHAR), CAST(start AS VARCHAR), '0'") + "), unit_id))] AS cs FROM runs, pt GROUP BY k, start)"]
+    for j in range(1, k_high):
+        near = f"list_min(list_transform(cs, lambda c: {_square('v', 'c')}))"
+        key = f"CASE WHEN {near} > 0 THEN -ln({_u(f'unit_id, CAST(k AS VARCHAR), CAST(start AS VARCHAR), {chr(39)}{j}{chr(39)}')}) / {near} ELSE CAST('inf' AS DOUBLE) END"
+        steps.append(f"s{j + 1} AS (SELECT k, start, list_append(cs, arg_min(v, ({key}, unit_id))) AS cs FROM s{j}, pt WHERE k > {j} GROUP BY k, start, cs"
+                     f" UNION ALL SELECT k, start, cs FROM s{j} WHERE k <= {j})")
+    mean = ", ".join(f"avg(v[{i + 1}])" for i in _D)
+    own = f"list_position(list_transform(cs, lambda c: {_square('v', 'c')}), list_min(list_transform(cs, lambda c: {_square('v', 'c')})))"
+    return _points_sql() + f""",
+runs AS (SELECT k, start FROM (SELECT CAST(unnest([{ks}]) AS INTEGER) AS k), (SELECT CAST(unnest(range(10)) AS INTEGER) AS start) WHERE k <= (SELECT count(*) FROM pt)),
+{", ".join(steps)},
+lloyd AS (SELECT * FROM (
+  WITH RECURSIVE l(k, start, cs, it, moved) AS (
+    SELECT k, start, cs, 0, CAST(1 AS DOUBLE) FROM s{k_high}
+    UNION ALL
+    SELECT k, start, new, it + 1, list_sum(list_transform(range(1, k + 1), lambda i: {_square("new[i]", "cs[i]")})) FROM (
+      SELECT k, start, it, cs, list_transform(range(1, k + 1), lambda i: coalesce(list_filter(ms, lambda m: m.own = i)[1].c, cs[i])) AS new FROM (
+        SELECT k, start, it, cs, list({{'own': own, 'c': c}}) AS ms FROM (
+          SELECT k, start, it, cs, own, [{mean}] AS c FROM (SELECT k, start, it, cs, v, {own} AS own FROM l, pt WHERE moved > 0.0001 AND it < 300)
+          GROUP BY k, start, it, cs, own)
+        GROUP BY k, start, it, cs)))
+  SELECT k, start, arg_max(cs, it) AS cs FROM l GROUP BY k, start)),
+fin AS (SELECT k, start, cs, sum(list_min(list_transform(cs, lambda c: {_square('v', 'c')}))) AS inertia FROM lloyd, pt GROUP BY k, start, cs),
+km AS (SELECT k, arg_min(cs, (inertia, start)) AS cs, min(inertia) AS inertia FROM fin GROUP BY k),
+klab AS (SELECT k, unit_id, v, CAST({own} - 1 AS INTEGER) AS cluster FROM km, pt)
+"""
+
+
+_SILHOUETTE_SQL = f"""cst AS (SELECT k, cluster, count(*) AS n, sum({" + ".join(f"v[{i + 1}] * v[{i + 1}]" for i in _D)}) AS q, [{", ".join(f"sum(v[{i + 1}])" for i in _D)}] AS s FROM klab GROUP BY k, cluster),
+far AS (SELECT klab.k, unit_id, klab.cluster = cst.cluster AS own, n,
+          (n * ({" + ".join(f"v[{i + 1}] * v[{i + 1}]" for i in _D)}) - 2 * ({" + ".join(f"v[{i + 1}] * s[{i + 1}]" for i in _D)}) + q)
+          / CASE WHEN klab.cluster = cst.cluster THEN nullif(n - 1, 0) ELSE n END AS d FROM klab JOIN cst ON klab.k = cst.k),
+ab AS (SELECT k, unit_id, max(d) FILTER (WHERE own) AS a, min(d) FILTER (WHERE NOT own) AS b, max(n) FILTER (WHERE own) AS n FROM far GROUP BY k, unit_id),
+sil AS (SELECT k, avg(CASE WHEN n <= 1 OR b IS NULL OR greatest(a, b) <= 0 THEN 0.0 ELSE (b - a) / greatest(a, b) END) AS silhouette FROM ab GROUP BY k)
+"""
+
+
+@register("unit_clusters", _kmeans_sql(str(ADAPTER.k_selected)).rstrip() + """,
+lv AS (SELECT cluster, row_number() OVER (ORDER BY m, cluster) - 1 AS level FROM (SELECT cluster, avg(mean_weekly) AS m FROM klab JOIN prof USING (unit_id) GROUP BY cluster))
+SELECT unit_id, CAST(level AS INTEGER) AS cluster FROM klab JOIN lv USING (cluster)""")
 def q_unit_clusters(spark, sf_dir):
     prof = profile(spark, sf_dir)
     return CL.unit_clusters(prof, k=ADAPTER.k_selected, seed=ADAPTER.seed)
 
 
-@register("kmeans_sweep")
+@register("kmeans_sweep", _kmeans_sql(", ".join(str(k) for k in range(ADAPTER.k_min, ADAPTER.k_max + 1))).rstrip() + ",\n" + _SILHOUETTE_SQL
+          + "SELECT k, round(inertia, 6) AS inertia, round(silhouette, 6) AS silhouette FROM km JOIN sil USING (k) WHERE k < (SELECT count(*) FROM pt)")
 def q_kmeans_sweep(spark, sf_dir):
-    return CL.kmeans_sweep(profile(spark, sf_dir), ADAPTER.k_min, ADAPTER.k_max, seed=ADAPTER.seed)
-
-
-@register("pca_2d")
+    return round6(CL.kmeans_sweep(profile(spark, sf_dir), ADAPTER.k_min, ADAPTER.k_max, seed=ADAPTER.seed))
+
+
+def _pca_sql() -> str:
+    """Covariance, then its two first eigenvectors: a symmetric matrix squared and divided by its trace again and
+    again goes to v v'; the second comes from what the first leaves."""
+    d = len(PR.CLUSTER_COLS)
+    ij = [(i, j) for i in range(d) for j in range(i, d)]
+    m = lambda i, j: f"m{min(i, j)}{max(i, j)}"
+    cov = ", ".join(f"covar_samp(v[{i + 1}], v[{j + 1}]) AS {m(i, j)}" for i, j in ij)
+    names = ", ".join(m(i, j) for i, j in ij)
+    trace = " + ".join(m(i, i) for i in range(d))
+    squared = ", ".join("(" + " + ".join(f"{m(i, h)} * {m(h, j)}" for h in range(d)) + f") AS {m(i, j)}" for i, j in ij)
+    power = lambda src: f"""(SELECT * FROM (WITH RECURSIVE p(it, {names}) AS (
+      SELECT 0, {", ".join(f"{m(i, j)} / ({trace})" for i, j in ij)} FROM {src}
+      UNION ALL SELECT it + 1, {", ".join(f"{m(i, j)} / ({trace})" for i, j in ij)} FROM (SELECT it, {squared} FROM p WHERE it < 50))
+      SELECT {names} FROM p WHERE it = 50))"""
+    column = lambda j: "[" + ", ".join(f"{m(i, j)} / sqrt({m(j, j)})" for i in range(d)) + "]"
+    top = lambda j: " AND ".join(f"{m(j, j)} >= {m(h, h)}" for h in range(d) if h != j)
+    vector = "CASE " + " ".join(f"WHEN {top(j)} THEN {column(j)}" for j in range(d)) + " END"
+    value = lambda c: " + ".join(f"v[{i + 1}] * v[{j + 1}] * {c}.{m(i, j)}" for i in range(d) for j in range(d))
+    dot = lambda e: " + ".join(f"v[{i + 1}] * {e}[{i + 1}]" for i in range(d))
+    return _points_sql() + f""",
+cv AS (SELECT {cov} FROM pt),
+e1 AS (SELECT {vector} AS v FROM {power("cv")}),
+l1 AS (SELECT {value("cv")} AS l FROM e1, cv),
+cv2 AS (SELECT {", ".join(f"cv.{m(i, j)} - l * v[{i + 1}] * v[{j + 1}] AS {m(i, j)}" for i, j in ij)} FROM cv, e1, l1),
+e2 AS (SELECT {vector} AS v FROM {power("cv2")}),
+l2 AS (SELECT {value("cv")} AS l FROM e2, cv)
+SELECT unit_id, round({dot("(SELECT v FROM e1)")}, 6) + 0.0 AS pca_1, round({dot("(SELECT v FROM e2)")}, 6) + 0.0 AS pca_2,
+  round((SELECT l FROM l1) / ({trace}), 6) AS explained_1, round((SELECT l FROM l2) / ({trace}), 6) AS explained_2 FROM pt, cv"""
+
+
+@register("pca_2d", _pca_sql())
 def q_pca_2d(spark, sf_dir):
-    return CL.pca_2d(profile(spark, sf_dir))
+    return round6(CL.pca_2d(profile(spark, sf_dir)))
 
 
 # ------------------------------------------------------------------ metrics
@@ -362,10 +454,6 @@ EXT = ADAPTER.replace(extend_to_year=2003, extend_to_week=22, year_intensity=((2
 _P = EXT
 
 
-def _u(parts: str) -> str:
-    return f"((CAST(('0x' || substr(md5(concat_ws('|', {parts}, '42')), 1, 8)) AS UBIGINT) + 0.5) / 4294967296.0)"
-
-
 def _normal_sql(parts: str) -> str:
     return f"(sqrt(-2.0 * ln({_u(parts + ', ' + chr(39) + 'n1' + chr(39))})) * cos(2.0 * pi() * {_u(parts + ', ' + chr(39) + 'n2' + chr(39))}))"
 

@@ -14,6 +14,7 @@ from weekpanel.operators import scenario as SC
 from weekpanel.operators.metrics import class_metrics, roc_auc
 from weekpanel.params import Params
 from weekpanel.plans.catalog import ADAPTER, MASTER_SQL, master, register, round6
+from weekpanel.plans.models import build_or_reuse, shared_folder
 from weekpanel.schema import CASE_REGISTRY, FEATURE_NUMERIC, MASTER_COLUMNS, QUERY_REGISTRY
 from weekpanel.session import cut_lineage, ensure_checkpoint_dir
 from weekpanel.sources import io
@@ -217,13 +218,24 @@ def q_prep_vectors(spark, sf_dir):
     return v.withColumn("value", F.round("value", 6) + F.lit(0.0))
 
 
+def _models(spark, fr, names=CF.MODELS):
+    """The application's models of this frame, fitted by the first query that asks for them."""
+    return build_or_reuse(fr, shared_folder(spark), names, ML)
+
+
+def _scored(fr, models: dict):
+    """Scores of the test split by all models, written once."""
+    test, scored = fr.filter(F.col("split") == "test"), None
+    for name, model in models.items():
+        s = CF.score(model, test, name)
+        scored = s if scored is None else scored.unionByName(s)
+    return cut_lineage(scored, "scored")
+
+
 @register("train_classifiers")
 def q_train_classifiers(spark, sf_dir):
     fr = _frame(spark, sf_dir)
-    scored = None
-    for name in CF.MODELS:
-        s = CF.score(CF.fit(fr, name, ML), fr.filter(F.col("split") == "test"), name)
-        scored = s if scored is None else scored.unionByName(s)
+    scored = _scored(fr, _models(spark, fr))
     return class_metrics(scored, ML.threshold).join(roc_auc(scored), "model")
 
 
@@ -249,12 +261,12 @@ def q_model_roundtrip(spark, sf_dir):
 @register("balance_effect")
 def q_balance_effect(spark, sf_dir):
     fr = _frame(spark, sf_dir)
-    rows = None
-    for name in ("random_forest", "xgboost"):
-        for state, bal in (("without", False), ("with", True)):
-            s = CF.score(CF.fit(fr, name, ML, balanced=bal), fr.filter(F.col("split") == "test"), name)
-            m = class_metrics(s, ML.threshold).select("model", F.lit(state).alias("state"), "recall", "f1")
-            rows = m if rows is None else rows.unionByName(m)
+    models = _models(spark, fr, [f"{name}{state}" for name in ("random_forest", "xgboost") for state in ("_plain", "")])
+    test, rows = fr.filter(F.col("split") == "test"), None
+    for name, model in models.items():
+        state = "without" if name.endswith("_plain") else "with"
+        m = class_metrics(CF.score(model, test, name.removesuffix("_plain")), ML.threshold).select("model", F.lit(state).alias("state"), "recall", "f1")
+        rows = m if rows is None else rows.unionByName(m)
     return rows
 
 
@@ -356,7 +368,7 @@ def q_scan_master(spark, sf_dir):
 
 def _tree_shap(spark, sf_dir):
     fr = _frame(spark, sf_dir)
-    model = CF.fit(fr, "random_forest", ML)
+    model = _models(spark, fr, ["random_forest"])["random_forest"]
     return CF.tree_shap_values(model, fr.filter(F.col("split") == "test"), _scratch(spark, "models"))
 
 
