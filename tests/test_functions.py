@@ -39,6 +39,20 @@ def test_text_folding(spark):
     assert got == ["SAN MARTIN", "NANDU", "STRASSE", "FIN", None, "ANCASH"]
 
 
+def test_folding_equals_nfkd_on_every_code_point(spark):
+    import unicodedata
+
+    from weekpanel.functions.text import _fold
+
+    points = [c for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000]
+    # 64 code points to a text, and each one between two letters
+    texts = ["".join(f"x{chr(c)}" for c in points[i : i + 64]) + "x" for i in range(0, len(points), 64)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").repartition(8)
+    got = dict(df.select("i", _fold(F.col("t"))).collect())
+    strip = lambda t: "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c))
+    assert [i for i, t in enumerate(texts) if got[i] != strip(t)] == []
+
+
 def test_hash_uniform_is_stable(spark):
     df = spark.range(1000).select(hash_uniform("id", seed=7).alias("u"))
     a = [r.u for r in df.collect()]

@@ -137,6 +137,33 @@ def test_kmeans_runs_equal_plain_lloyd(spark):
     assert sil[3] > sil[2]
 
 
+@pytest.mark.parametrize("error,max_cells", [(0.0, 5000), (0.05, 5000), (0.3, 5000), (0.05, 12)])
+def test_euclidean_silhouette_is_within_its_bounds(spark, error, max_cells):
+    rng = np.random.default_rng(6)
+    x = np.round(np.vstack([rng.normal(c, 0.7, size=(330, 2)) for c in ((0, 0), (3, 1), (0, 4))] + [[[9.0, 9.0]]]), 2)
+    own = np.repeat([0, 1, 2, 5], [330, 330, 330, 1])
+    df = spark.createDataFrame([(f"u{i}", int(c), r.tolist()) for i, (r, c) in enumerate(zip(x, own, strict=True))], "unit_id string, cluster int, v array<double>").repartition(3)
+    dist = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    want = []
+    for i, c in enumerate(own):
+        mates = (own == c).sum() - 1
+        if not mates:
+            want.append(0.0)
+            continue
+        a, b = dist[i, own == c].sum() / mates, min(dist[i, own == o].mean() for o in set(own.tolist()) - {c})
+        want.append((b - a) / max(a, b))
+    got = CL.euclidean_silhouette(df, error, max_cells).first()
+    assert got.least - 1e-9 <= np.mean(want) <= got.most + 1e-9 and got.least <= got.silhouette <= got.most
+    if max_cells > 12:
+        assert got.most - got.least <= 2.5 * error + 1e-9 and abs(got.silhouette - np.mean(want)) <= error / 5 + 1e-9
+
+
+def test_euclidean_silhouette_of_little(spark):
+    df = spark.createDataFrame([("a", 0, [0.0]), ("b", 0, [0.0])], "unit_id string, cluster int, v array<double>")
+    assert CL.euclidean_silhouette(df.limit(0)).first().silhouette is None
+    assert CL.euclidean_silhouette(df).first().silhouette == 0.0
+
+
 def test_starts_with_fewer_points_than_clusters(spark):
     points = spark.createDataFrame([("a", [0.0]), ("b", [0.0]), ("c", [1.0])], "unit_id string, v array<double>")
     runs = CL.kmeans_runs(points, [3], 2, 1)

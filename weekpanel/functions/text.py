@@ -1,10 +1,12 @@
 """Text folding: trim -> upper -> compatibility decomposition (NFKD) -> drop
 combining marks -> collapse whitespace runs to one space.
 
-All steps are JVM expressions. The decomposition calls the ICU normalizer that
-ships with Spark through ``reflect``; the set of combining characters (canonical
-combining class != 0) is derived from the Unicode database at import time, so
-no table is written out by hand.
+All steps are deterministic built-in expressions. What becomes of a code point
+(its decomposition without characters of combining class != 0) is worked out
+from the Unicode database at import time. One ``translate`` folds the code
+points that become one character or none; the few that become several
+(ligatures, fractions, syllables) are spelled out character by character, in
+texts that hold one.
 """
 
 from __future__ import annotations
@@ -33,31 +35,47 @@ def _ranges(cps: list[int]) -> str:
 
 
 @functools.lru_cache(maxsize=1)
-def combining_class_regex() -> str:
-    """Java regex matching runs of code points with combining class != 0.
-
-    Written as "nonspacing mark, minus the nonspacing marks of class 0, plus
-    the few spacing marks of nonzero class": the category test is a table
-    lookup, and only actual marks reach the small exclusion class."""
-    mn_class0, other = [], []
-    for cp in range(sys.maxunicode + 1):
+def folded_code_points() -> dict[str, str]:
+    """Every code point that folding changes, with what becomes of it."""
+    out = {}
+    for cp in range(0x80, sys.maxunicode + 1):
+        if 0xD800 <= cp < 0xE000:
+            continue
         ch = chr(cp)
-        cat, ccc = unicodedata.category(ch), unicodedata.combining(ch)
-        if cat == "Mn" and ccc == 0:
-            mn_class0.append(cp)
-        elif cat != "Mn" and ccc != 0:
-            other.append(cp)
-    alt = f"[\\p{{Mn}}&&[^{_ranges(mn_class0)}]]"
-    if other:
-        alt += f"|[{_ranges(other)}]"
-    return f"(?:{alt})+"
+        to = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c))
+        if to != ch:
+            out[ch] = to
+    return out
 
 
-def _nfkd(c: Column) -> Column:
-    return F.when(
-        c.isNotNull(),
-        F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("decompose"), c, F.lit(True)),
-    )
+@functools.lru_cache(maxsize=1)
+def _tables():
+    """(from, to) of the single ones (``to`` ends before the code points that go), and (from, [first, second, ... characters]) of the others."""
+    folded = folded_code_points()
+    single = sorted((c for c, to in folded.items() if len(to) <= 1), key=lambda c: (not folded[c], c))
+    several = sorted((c for c, to in folded.items() if len(to) > 1), key=lambda c: (-len(folded[c]), c))
+    deep = max(len(folded[c]) for c in several)
+    places = ["".join(folded[c][i] for c in several if len(folded[c]) > i) for i in range(deep)]
+    return ("".join(single), "".join(folded[c] for c in single)), ("".join(several), places)
+
+
+@functools.lru_cache(maxsize=1)
+def _several_class() -> str:
+    return "[" + _ranges(sorted(ord(c) for c in _tables()[1][0])) + "]"
+
+
+def _fold(c: Column) -> Column:
+    """``c`` decomposed (NFKD) and without marks."""
+    (single, to), (several, places) = _tables()
+
+    def spelled(ch: Column) -> Column:
+        # longer spellings stand first, so a shorter one loses its later places to ``translate``
+        parts = [F.translate(ch, several, p) for p in places]
+        return F.when(F.translate(ch, several, "") == "", F.concat(*parts)).otherwise(ch)
+
+    chars = F.regexp_extract_all(c, F.lit("(?s)(.)"), F.lit(1))
+    whole = F.when(c.rlike(_several_class()), F.array_join(F.transform(chars, spelled), "")).otherwise(c)
+    return F.translate(whole, single, to)
 
 
 @functools.lru_cache(maxsize=1)
@@ -82,9 +100,7 @@ def normalize_text(c: Column | str) -> Column:
     Pure-ASCII values (the common case for names and labels) skip the
     decomposition: NFKD is the identity on ASCII and there are no marks."""
     up = F.upper(strip_ws(c))
-    folded = F.when(
-        up.rlike(r"[^\x00-\x7F]"), F.regexp_replace(_nfkd(up), combining_class_regex(), "")
-    ).otherwise(up)
+    folded = F.when(up.rlike(r"[^\x00-\x7F]"), _fold(up)).otherwise(up)
     return F.regexp_replace(folded, _ws_class(), " ")
 
 

@@ -184,9 +184,10 @@ def tree_shap_values(model: PipelineModel, frame: DataFrame, path: str, tree_gro
     """Tree SHAP of every row of ``frame``: (unit_id, week_id, feature, phi),
     nonzero contributions only, plus the expected value as feature '_expected'
     on a row without keys. Trees and forests are explained in class-1
-    probability, boosted trees in their margin. The trees are dealt into
-    ``tree_groups`` that work side by side and are summed up (most of the work
-    is per leaf, not per row), so (unit_id, week_id) must identify a row."""
+    probability, boosted trees in their margin. The trees are dealt into up to
+    ``tree_groups`` and the rows, by a hash of their key, into as many shards as
+    give every shuffle partition one (group, shard); groups are summed up, so
+    (unit_id, week_id) must identify a row."""
     from weekpanel.operators.treeshap import expected_value, explain_rows
 
     trees, names = tree_table(model, path), feature_names(model)
@@ -197,7 +198,9 @@ def tree_shap_values(model: PipelineModel, frame: DataFrame, path: str, tree_gro
 
     groups = max(1, min(tree_groups, len(trees)))
     each = spark.range(groups).withColumnRenamed("id", "g")  # a fixed handful of rows
-    feats = feats.crossJoin(F.broadcast(each)).repartitionByRange(groups, "g")
+    shards = max(1, -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // groups))
+    task = F.col("g") * shards + F.pmod(F.xxhash64("unit_id", "week_id"), F.lit(shards))
+    feats = feats.crossJoin(F.broadcast(each)).withColumn("task", task).repartitionByRange(groups * shards, "task").drop("task")
 
     def explain(batches):
         for pdf in batches:

@@ -134,10 +134,18 @@ def candidate_arrays(pl: DataFrame, params: Params = DEFAULT) -> tuple[DataFrame
     return band, whole
 
 
+def _with_candidates(tg: DataFrame, band: DataFrame, whole: DataFrame) -> DataFrame:
+    """Targets with their candidates ``c``: the band of the target's week; only targets whose band is empty are
+    joined to their unit's whole pool."""
+    j = tg.join(band.withColumnRenamed("week", "_w"), ["unit_id", "_w"], "left")
+    empty = F.size(F.coalesce(F.col("band"), F.array())) <= 0
+    filled = j.where(~empty).withColumnRenamed("band", "c")
+    return filled.unionByName(j.where(empty).drop("band").join(whole.withColumnRenamed("whole", "c"), "unit_id", "left"))
+
+
 def pool_sizes(tg: DataFrame, band: DataFrame, whole: DataFrame) -> DataFrame:
     """Candidates per target row: (unit_id, week_id, n_candidates, weight_sum)."""
-    j = tg.withColumnRenamed("week", "_w").join(band.withColumnRenamed("week", "_w"), ["unit_id", "_w"], "left").join(whole, "unit_id", "left")
-    cands = F.when(F.size(F.coalesce(F.col("band"), F.array())) > 0, F.col("band")).otherwise(F.col("whole"))
+    j, cands = _with_candidates(tg.withColumnRenamed("week", "_w"), band, whole), F.col("c")
     return j.select(
         "unit_id", "week_id", F.size(cands).cast("long").alias("n_candidates"),
         F.aggregate(cands, F.lit(0.0), lambda acc, c: acc + c["weight"]).alias("weight_sum"),
@@ -150,8 +158,7 @@ def draw(tg: DataFrame, band: DataFrame, whole: DataFrame, params: Params = DEFA
     id, pool week id). Same draw as ``weighted_draw``, evaluated inside the
     bounded candidate array of the target's week instead of a long join."""
     pw = F.pmod(F.least(F.col("week"), F.lit(PERIOD)) - 1, F.lit(PERIOD)) + 1
-    j = tg.withColumn("_w", pw).join(band.withColumnRenamed("week", "_w"), ["unit_id", "_w"], "left").join(whole, "unit_id", "left")
-    cands = F.when(F.size(F.coalesce(F.col("band"), F.array())) > 0, F.col("band")).otherwise(F.col("whole"))
+    j, cands = _with_candidates(tg.withColumn("_w", pw), band, whole), F.col("c")
 
     def keyed(c):
         u = hash_uniform(F.col("unit_id"), F.col("week_id"), c["p_week_id"], seed=params.seed)

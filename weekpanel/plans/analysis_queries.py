@@ -201,6 +201,18 @@ def q_kmeans_sweep(spark, sf_dir):
     return round6(CL.kmeans_sweep(profile(spark, sf_dir), ADAPTER.k_min, ADAPTER.k_max, seed=ADAPTER.seed))
 
 
+@register("silhouette_euclidean", _kmeans_sql(str(ADAPTER.k_selected)).rstrip() + f""",
+pr AS (SELECT a.unit_id, a.cluster AS own, b.cluster AS other, sum(sqrt({_square("a.v", "b.v")})) AS s, count(*) AS n FROM klab a JOIN klab b ON a.k = b.k GROUP BY 1, 2, 3),
+ab AS (SELECT unit_id, max(s / nullif(n - 1, 0)) FILTER (WHERE own = other) AS a, min(s / n) FILTER (WHERE own <> other) AS b FROM pr GROUP BY unit_id)
+SELECT round(avg(CASE WHEN a IS NULL OR b IS NULL OR greatest(a, b) <= 0 THEN 0.0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette, true AS within_error FROM ab""")
+def q_silhouette_euclidean(spark, sf_dir):
+    """Euclidean silhouette of the chosen clusters; the cells' bounds lie within twice the stated error."""
+    prof = cut_lineage(profile(spark, sf_dir), "profile")
+    clusters = CL.unit_clusters(prof, k=ADAPTER.k_selected, seed=ADAPTER.seed)
+    s = CL.euclidean_silhouette(clusters.join(CL.scaled(prof), "unit_id"), error=1e-7)
+    return s.select(F.round("silhouette", 6).alias("silhouette"), (F.col("most") - F.col("least") < 1e-5).alias("within_error"))
+
+
 def _pca_sql() -> str:
     """Covariance, then its two first eigenvectors: a symmetric matrix squared and divided by its trace again and
     again goes to v v'; the second comes from what the first leaves."""
