@@ -22,8 +22,10 @@ def clean_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated chunks of lines and long lines go; every document stays, n_chars follows its text."""
+    """Repeated chunks of lines and long lines go, n_chars follows the text. A document that loses all its words goes;
+    one that had none stays."""
     cleaned = line_dedup.dedup_lines(docs.select(*COLUMNS), window=1, long_words=line_dedup.LONG_WORDS)
+    cleaned = cleaned.where((F.col("n_removed") == 0) | F.col("text").rlike(line_dedup.WORD))
     return cleaned.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 
