@@ -8,8 +8,8 @@ from weekpanel.llm import queries
 
 def test_every_operator_is_registered():
     names = [k for k in E.queries() if k.startswith("op")]
-    assert {int(k[2:].split("_")[0]) for k in names} == set(range(1, 11)) and "pipeline" in E.queries()
-    assert set(queries.ORACLE) == {"op6_line_dedup", "op8_source_mix"}
+    assert {int(k[2:].split("_")[0]) for k in names} == set(range(1, 14)) and "pipeline" in E.queries()
+    assert set(queries.ORACLE) == {"op6_line_dedup", "op8_source_mix", "op11_ranked_search"}
 
 
 def test_pipeline_against_planted_rows(spark, tmp_path):
@@ -27,6 +27,7 @@ def test_pipeline_against_planted_rows(spark, tmp_path):
         rows[i][1] += " " + " ".join(rng.sample(bad, 4))
     for i in (51, 151):
         rows[i][1] = rows[i][1] + "\n" + passage + "\nend " + str(i)
+    rows[153][1] = passage  # nothing but lines that stand in 51 too
     rows[62][1] = rows[61][1]  # exact copy
     w = rows[71][1].split()
     w[0] = "edited"
@@ -47,7 +48,7 @@ def test_pipeline_against_planted_rows(spark, tmp_path):
         seen[name] = {r.doc_id: r for r in docs.collect()}
     gone = {r[0] for r in rows} - set(seen["toxicity"])
     assert gone <= toxic and len(gone) > 0.9 * len(toxic)
-    assert set(seen["line dedup"]) == set(seen["toxicity"])
+    assert set(seen["toxicity"]) - set(seen["line dedup"]) == {153} and {500, 501} <= set(seen["line dedup"])
     assert len(seen["line dedup"][151].text) < len(seen["toxicity"][151].text) and seen["line dedup"][51].text == seen["toxicity"][51].text
     assert set(seen["line dedup"]) - set(seen["near duplicates"]) == {62, 72}
     assert set(seen["near duplicates"]) - set(seen["decontamination"]) == {83}
