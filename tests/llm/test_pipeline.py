@@ -27,7 +27,8 @@ def test_pipeline_against_planted_rows(spark, tmp_path):
         rows[i][1] += " " + " ".join(rng.sample(bad, 4))
     for i in (51, 151):
         rows[i][1] = rows[i][1] + "\n" + passage + "\nend " + str(i)
-    rows[153][1] = passage  # nothing but lines that stand in 51 too
+    rows[153][1] = "\n".join(" ".join(words(rng, 12)) for _ in range(2))  # nothing but lines that stand in 52 too
+    rows[52][1] = rows[52][1] + "\n" + rows[153][1] + "\nend 52"
     rows[62][1] = rows[61][1]  # exact copy
     w = rows[71][1].split()
     w[0] = "edited"
