@@ -229,6 +229,55 @@ def test_licenses_and_spans(spark):
     assert license_scan.mark_licenses(frame(spark, rows), {"empty": "", "own": "ete"}).where("size(licenses) > 0").count() == 0
 
 
+def bytes_of(text):
+    return np.frombuffer(text.encode(), np.uint8)
+
+
+def licenses_of(index, text):
+    return [x["license"] for x in index.spans(bytes_of(text), license_scan.LEAST)]
+
+
+def test_each_template_is_its_own_license_only():
+    index = license_scan.Fingerprints(license_scan.TEMPLATES, license_scan.GRAM, license_scan.WINDOW, license_scan.TELLING)
+    for name, text in license_scan.TEMPLATES.items():
+        assert licenses_of(index, f"some code here {text} more code there") == [name]
+    assert set(license_scan.TELLING) <= set(license_scan.TEMPLATES)
+
+
+@pytest.mark.parametrize("text,want", [
+    ("This work is licensed under the GNU General Public License, version 2.", ["GPL-2.0-notice"]),
+    ("Released under the BSD License.", []),
+    ("Licensed under CC BY 3.0.", []),
+    ("Licensed under the Apache License, Version 1.1.", []),
+    ("Released under the MIT License. Licensed under CC BY 4.0.", ["MIT-notice", "CC-BY-4.0-short"]),
+    ("This work is released under a Creative Commons Attribution-ShareAlike 4.0 International License.", ["CC-BY-SA-4.0-notice"]),
+])
+def test_sister_licenses(text, want):
+    index = license_scan.Fingerprints(license_scan.TEMPLATES, license_scan.GRAM, license_scan.WINDOW, license_scan.TELLING)
+    assert licenses_of(index, text) == want
+
+
+def test_licenses_match_alignment_of_every_template():
+    rng = random.Random(8)
+    index = license_scan.Fingerprints(license_scan.TEMPLATES, license_scan.GRAM, license_scan.WINDOW, license_scan.TELLING)
+    hits = 0
+    for name, text in list(license_scan.TEMPLATES.items()) * 2:
+        w = text.split()
+        for _ in range(rng.randrange(1 + len(w) // 12)):  # seeds of five words in a row stay likely
+            at = rng.randrange(len(w))
+            w[at:at + 1] = rng.choice([["changed"], [], [w[at], "added"]])
+        words_in = hashing.word_hashes(bytes_of(" ".join(words(rng, 20) + w + words(rng, 20))), hashing.NO_LETTER)
+        every = []
+        for k, template in enumerate(index.words):
+            x = align(template, words_in, 0, len(template) + len(words_in))
+            if x and x.coverage(len(template)) >= license_scan.LEAST and index.told(k, words_in[x.b_start : x.b_end]):
+                every.append((k, x))
+        want = [(k, x.matched) for k, x in license_scan.resolve(every, len(words_in))]
+        assert [(k, x.matched) for k, x in index.places(words_in, license_scan.LEAST)] == want
+        hits += bool(want)
+    assert hits > len(license_scan.TEMPLATES)
+
+
 def test_winnow_guarantee():
     rng = np.random.default_rng(3)
     h = rng.integers(0, 50, 200).astype(np.uint64)
