@@ -19,7 +19,7 @@ def vectors(n=150, dim=12, seed=2):
     return rows
 
 
-def brute(rows, least):
+def brute(rows, least, kind=np.float32):
     def fit(v):
         return v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v) and any(v)
 
@@ -36,7 +36,8 @@ def brute(rows, least):
             (_, a, la), (_, b, lb) = rows[i], rows[j]
             if la is None or la != lb or not fit(a) or not fit(b) or len(a) != len(b):
                 continue
-            a, b = np.array(a, np.float32).astype(float), np.array(b, np.float32).astype(float)
+            a, b = np.array(a, kind).astype(float), np.array(b, kind).astype(float)
+            a, b = a / np.abs(a).max(), b / np.abs(b).max()
             if a @ b / (np.sqrt(a @ a) * np.sqrt(b @ b)) >= least:
                 links[i] += 1
                 links[j] += 1
@@ -57,6 +58,30 @@ def test_links_match_all_pairs(spark, least, chunk):
     assert Counter((r.vec_id, r.n_links, r.component_id) for r in out) == brute(rows, least)
 
 
+def test_doubles_and_text_labels(spark):
+    """Vectors that are equal as floats but not as doubles, lengths beyond floats, labels that are no numbers."""
+    rows = [(i, v, None if k is None else ["Ä", "b"][k]) for i, v, k in vectors()]
+    rows += [(1000 + i, [1.0, 1e-9 * i], "b") for i in range(4)] + [(1010 + i, [1e300, 1e300 * i], "b") for i in range(3)] + [(1015, [1e-300, 1e-300], "b")] + [(1020, [1.0, 1.0], "2"), (1021, [1.0, 1.0], "2.0")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    out = E.near_vectors(df, 0.98).collect()
+    assert Counter((r.vec_id, r.n_links, r.component_id) for r in out) == brute(rows, 0.98, np.float64)
+
+
+def test_shared_hashes_stay_different_vectors(spark, monkeypatch):
+    """Hashes of two bits: most vectors share the first, and the two together are still told apart."""
+    from pyspark.sql import functions as F
+
+    def weak(salt, *columns):
+        h = F.xxhash64(F.lit(1), *columns)
+        return F.when(salt == 1, F.pmod(h, F.lit(4))).otherwise(h)
+
+    monkeypatch.setattr(E, "_hash", weak)
+    rows = vectors()
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    out = E.near_vectors(df, 0.98).collect()
+    assert Counter((r.vec_id, r.n_links, r.component_id) for r in out) == brute(rows, 0.98)
+
+
 def test_empty_table(spark):
     assert E.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
