@@ -114,6 +114,24 @@ def test_rules_against_enumeration(spark):
     assert got == want
 
 
+def test_rules_of_many_tokens_and_deep_hosts(spark):
+    """A rule that is sure only with four tokens; tokens that always stand together, 40 of them, mine as fast as one."""
+    rows = []
+    for mask in range(16):
+        tokens = sorted(f"t{j}" for j in range(4) if mask >> j & 1)
+        rows += [(tokens, "block" if mask == 15 else "allow")] * 10
+    rows += [(sorted(f"host:{j:02d}" for j in range(40)), "block")] * 40
+    df = spark.createDataFrame(rows, "tokens array<string>, label string")
+    got = {(tuple(r.tokens), r.label) for r in url_filter.mine_rules(df, 0.04, 0.9).collect()}
+    assert {t for t, label in got if label == "block"} == {("t0", "t1", "t2", "t3")} | {(f"host:{j:02d}",) for j in range(40)}
+    deep = ".".join(f"l{j}" for j in range(30))
+    urls = [(i, f"http://{deep}.fine.org/fr/{i}") for i in range(20)] + [(90, "http://x.fine.org/en"), (91, "http://x.other.com/en"), (92, f"http://{deep}.fine.org/en")]
+    out = {r.page_id: r for r in url_filter.judge_urls(spark.createDataFrame(urls, "page_id long, url string")).collect()}
+    assert len(out) == len(urls) and {out[i].rule for i in range(20)} == {"org/fr/"}
+    # every suffix of the deep host is a rule of its own, equally sure; the last in order decides
+    assert [(out[i].verdict, out[i].mined) for i in (90, 91, 92)] == [("allow", "host:org"), ("allow", None), ("allow", "sub:l0")]
+
+
 def test_urls_of_nothing(spark):
     assert url_filter.judge_urls(spark.createDataFrame([], "page_id long, url string")).count() == 0
     only_unlabelled = spark.createDataFrame([(1, "http://a.com/x"), (2, None)], "page_id long, url string")

@@ -4,12 +4,16 @@ A url that an explicit rule fits takes the longest rule's verdict. The others
 are judged by mined rules: the labelled urls' tokens (host suffixes, host
 labels, path words, query keys) and their label go through Spark's FP-growth,
 and rules "tokens => label" above a support and a confidence, not implied by a
-shorter rule at least as sure, are kept. Urls with the same rule tokens are
+shorter rule at least as sure, are kept, however many tokens they need. Tokens that
+stand in the same labelled urls (the suffixes of one deep host, the words of one
+path) are mined as one and stand for each other in the rules. Urls with the same rule tokens are
 judged once: an inverted index (each rule under one of its tokens) picks the
 rules to test on each distinct token set."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +23,6 @@ from weekpanel.session import cut_lineage
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 MIN_SUPPORT = 0.01
 MIN_CONFIDENCE = 0.8
-MAX_TOKENS = 3
 DEFAULT = "allow"
 MARK = "label="
 
@@ -47,7 +50,7 @@ def url_tokens(host, path, url):
     """Distinct sorted tokens; path words with digits are left out (they name single pages)."""
     labels = F.split(host, r"\.")
     n = F.size(labels)
-    suffixes = F.transform(F.sequence(F.lit(1), F.least(n, F.lit(3))), lambda k: F.concat(F.lit("host:"), F.array_join(F.slice(labels, n - k + 1, k), ".")))
+    suffixes = F.transform(F.sequence(F.lit(1), n), lambda k: F.concat(F.lit("host:"), F.array_join(F.slice(labels, n - k + 1, k), ".")))
     first = F.when(n > 2, F.array(F.concat(F.lit("sub:"), labels[0]))).otherwise(F.array().cast("array<string>"))
     words = F.filter(F.split(F.lower(path), r"[/._\-]+"), lambda w: (w != "") & ~w.rlike(r"\d"))
     asked = F.filter(F.split(F.regexp_extract(url, r"\?([^#]*)", 1), "&"), lambda x: x != "")
@@ -56,19 +59,41 @@ def url_tokens(host, path, url):
         F.filter(suffixes, lambda s: s != "host:"), first, F.transform(words, lambda w: F.concat(F.lit("path:"), w)), keys)))
 
 
-def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
-               max_tokens: int = MAX_TOKENS) -> DataFrame:
+def twin_tokens(sets: DataFrame, least) -> DataFrame:
+    """(token, twin) for the tokens of rows (tokens, n) that stand in at least ``least`` rows: ``twin`` is the smallest
+    token that stands in just the same rows (known by their number and two sums of 64-bit hashes)."""
+    hashed = lambda salt: F.sum(F.xxhash64(F.lit(salt), "tokens").cast("decimal(20,0)"))
+    t = sets.select("tokens", "n", F.explode("tokens").alias("token"))
+    t = t.groupBy("token").agg(F.sum("n").alias("c"), hashed(1).alias("a"), hashed(2).alias("b")).where(F.col("c") >= least)
+    twins = t.groupBy("c", "a", "b").agg(F.min("token").alias("twin"))
+    return t.join(twins, ["c", "a", "b"]).select("token", "twin")
+
+
+def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """(tokens, label, confidence, support) from rows (tokens array, label).
 
     Rules are bounded in number by the support, not by the rows. A rule is
     dropped when a subset of its tokens gives the same label with at least its
-    confidence. No labelled rows: no rules."""
-    items = labelled.select(F.concat("tokens", F.array(F.concat(F.lit(MARK), "label"))).alias("items"))
+    confidence; so no rule holds two tokens that stand in the same rows, and FP-growth sees one of them
+    (else k such tokens would be 2^k frequent sets). No labelled rows: no rules."""
+    sets = cut_lineage(labelled.groupBy("tokens", "label").agg(F.count(F.lit(1)).alias("n")), "labelled")
+    rows = sets.agg(F.sum("n")).first()[0] or 0
+    twins = cut_lineage(twin_tokens(sets, math.ceil(min_support * rows)), "twins")
+    mined = F.broadcast(twins.agg(F.array_sort(F.collect_set("twin")).alias("mined")))  # one row, bounded by the support
+    items = labelled.crossJoin(mined).select(F.concat(F.array_intersect("tokens", "mined"), F.array(F.concat(F.lit(MARK), "label"))).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
-    to_label = F.col("consequent")[0].startswith(MARK) & (F.size("antecedent") <= max_tokens)
-    rules = model.associationRules.where(to_label).select(
-        F.array_sort("antecedent").alias("tokens"), F.expr(f"substring(consequent[0], {len(MARK) + 1})").alias("label"),
+    rules = model.associationRules.where(F.col("consequent")[0].startswith(MARK)).select(
+        F.monotonically_increasing_id().alias("rule"), "antecedent", F.expr(f"substring(consequent[0], {len(MARK) + 1})").alias("label"),
         F.round("confidence", 9).alias("confidence"), F.round("support", 9).alias("support"))
+    rules = cut_lineage(rules, "mined")
+    # every twin in place of the token that was mined for it
+    classes = twins.groupBy("twin").agg(F.array_sort(F.collect_set("token")).alias("class"))
+    full = rules.select("*", F.posexplode("antecedent").alias("at", "twin")).join(classes, "twin")
+    full = full.groupBy("rule", "label", "confidence", "support").agg(F.array_sort(F.collect_list(F.struct("at", "class"))).alias("classes"))
+    one_of_each = F.aggregate(
+        "classes", F.array(F.array().cast("array<string>")),
+        lambda made, c: F.flatten(F.transform(made, lambda m: F.transform(c["class"], lambda x: F.concat(m, F.array(x))))))
+    rules = full.select(F.explode(one_of_each).alias("tokens"), "label", "confidence", "support").withColumn("tokens", F.array_sort("tokens"))
     rules = cut_lineage(rules, "rules")
     wide = rules.alias("r")
     short = rules.select(F.col("tokens").alias("s_tokens"), F.col("label").alias("s_label"), F.col("confidence").alias("s_conf"))
@@ -81,7 +106,7 @@ def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confid
 
 
 def judge_urls(pages: DataFrame, rules=RULES, labelled: DataFrame | None = None, min_support: float = MIN_SUPPORT,
-               min_confidence: float = MIN_CONFIDENCE, max_tokens: int = MAX_TOKENS, default: str = DEFAULT) -> DataFrame:
+               min_confidence: float = MIN_CONFIDENCE, default: str = DEFAULT) -> DataFrame:
     """(page_id, host, path, rule, verdict, mined) for rows (page_id, url).
 
     ``labelled`` has (url, label); by default the urls that an explicit rule
@@ -101,7 +126,7 @@ def judge_urls(pages: DataFrame, rules=RULES, labelled: DataFrame | None = None,
         host, path = split_url(F.col("url"))
         e = labelled.select("url", "label", host.alias("host"), path.alias("path")).where("host != '' and label is not null")
         examples = e.select(url_tokens(F.col("host"), F.col("path"), F.col("url")).alias("tokens"), "label")
-    mined = cut_lineage(mine_rules(examples, min_support, min_confidence, max_tokens), "rules")
+    mined = cut_lineage(mine_rules(examples, min_support, min_confidence), "rules")
     # urls reduced to the tokens that rules use; few distinct sets are left
     vocabulary = mined.select(F.explode("tokens").alias("t")).agg(F.array_sort(F.collect_set("t")).alias("vocabulary"))
     p = p.crossJoin(F.broadcast(vocabulary)).select(  # one row, bounded by the mined rules
