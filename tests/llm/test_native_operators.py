@@ -136,3 +136,16 @@ def test_urls_of_nothing(spark):
     assert url_filter.judge_urls(spark.createDataFrame([], "page_id long, url string")).count() == 0
     only_unlabelled = spark.createDataFrame([(1, "http://a.com/x"), (2, None)], "page_id long, url string")
     assert {r.verdict for r in url_filter.judge_urls(only_unlabelled).collect()} == {"allow"}
+
+
+def test_line_dedup_compares_bytes(spark):
+    """A digest that is the same for most chunks changes nothing: chunks are told apart by their bytes."""
+    rows = documents(4)
+    weak = line_dedup.dedup_lines(frame(spark, rows), digest=lambda body: F.length(body) % 3).select("doc_id", "text", "n_lines", "n_removed")
+    assert in_spark(weak) == in_duckdb(rows, line_dedup.dedup_sql())
+
+
+def test_mix_spreads_rows_without_ids(spark):
+    """Rows of one source without ids fall into many buckets of the shuffled order, and the result is its SQL's."""
+    rows = [(None, f"word{i} " * (1 + i % 7), "en", "hot", 0) for i in range(600)] + [(i, "a b c", "en", "cold", 0) for i in range(60)]
+    assert in_spark(mixing.fair_mix(frame(spark, rows), buckets=64)) == in_duckdb(rows, mixing.mix_sql())

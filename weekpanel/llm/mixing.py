@@ -55,9 +55,9 @@ def fair_mix(docs: DataFrame, weights=WEIGHTS, budget_share: float = BUDGET_SHAR
 
     ``docs`` needs doc_id, source and text; columns named in ``keep`` pass
     through. ``taken`` counts words with repeats, at most ``max_repeats * size``;
-    ``repeats`` counts the copies taken. The shuffled order is that of
-    ``md5(doc_id)`` (null: of ''), so reruns agree; rows alike in doc_id, source
-    and size are interchangeable. Null or empty texts have size 0, cost nothing
+    ``repeats`` counts the copies taken. The shuffled order is that of an md5 over
+    doc_id and the text's md5 (null: of ''), so reruns agree and rows of one source without
+    ids spread like others; rows alike in doc_id, source and text are interchangeable. Null or empty texts have size 0, cost nothing
     and count as taken while their finish time is before the cut. Null is a source of its own.
     An empty table gives no rows."""
     kept = F.struct(*[F.col(c) for c in keep]) if keep else F.lit(None).cast("int")
@@ -65,12 +65,13 @@ def fair_mix(docs: DataFrame, weights=WEIGHTS, budget_share: float = BUDGET_SHAR
         F.col("doc_id"),
         F.col("source"),
         F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("k"),
+        F.md5(F.concat_ws(" ", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(F.coalesce("text", F.lit("")).cast("binary"))).cast("binary")).alias("k"),
         kept.alias("kept"),
     )
     sized = cut_lineage(sized, "sizes")  # the texts are read once
-    targets = source_targets(sized, weights, budget_share, max_repeats).withColumnRenamed("source", "s")
-    d = sized.join(F.broadcast(targets), sized["source"].eqNullSafe(F.col("s"))).drop("s")  # one row per source
+    # one row per source; a written table, so Spark's own size check decides about a broadcast
+    targets = cut_lineage(source_targets(sized, weights, budget_share, max_repeats).withColumnRenamed("source", "s"), "targets")
+    d = sized.join(targets, sized["source"].eqNullSafe(F.col("s"))).drop("s")
     d = d.withColumn("hb", F.floor(F.conv(F.substring("k", 1, 7), 16, 10).cast("long") * buckets / 16**7).cast("int"))
     # words of the source up to each document in the shuffled order
     ahead = W.partitionBy("source_rank").orderBy("hb").rowsBetween(W.unboundedPreceding, -1)
@@ -127,7 +128,7 @@ def mix_sql(docs: str = "documents") -> str:
     """The same rows in DuckDB SQL, with plain global windows."""
     return f"""
 WITH sized AS (
-  SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS k,
+  SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '') || ' ' || md5(coalesce(text, ''))) AS k,
          CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size
   FROM {docs}),
 per AS (SELECT source, CAST(sum(size) AS DOUBLE) AS n FROM sized GROUP BY source),
