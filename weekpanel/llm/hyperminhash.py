@@ -41,6 +41,11 @@ LAST_ID = (1 << 63) - 1
 _KEYS = mix(np.arange(5001, 5001 + (1 << TOP) * 2, dtype=U))
 
 
+def text_hash(text="text"):
+    """Column: 128 bits of the text's SHA-256 (null: no bytes)."""
+    return F.coalesce(F.substring(F.unhex(F.sha2(F.col(text).cast("binary"), 256)), 1, 16), F.lit(b""))
+
+
 def text_shingles(b: np.ndarray, n: int) -> np.ndarray:
     """Sorted distinct shingle hashes of a text's bytes."""
     return np.unique(shingles(word_hashes(b), n))
@@ -222,26 +227,24 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80) -> Dat
     100 * intersection >= percent * union of their sets. ``component_id`` is the
     smallest doc_id reachable, itself included (null ids come last), and
     ``kept`` tells whether that is the row's own. Null, empty and blank texts have an empty set and link
-    with nothing. Repeated rows are documents like others. ``th`` is the text's 64-bit hash.
-    ``group`` names the component by one of its text hashes, also where rows share an id or have none
+    with nothing. Repeated rows are documents like others. ``th`` is the first 128 bits of the text's
+    SHA-256. ``group`` is a number of the component, also where rows share an id or have none
     (null: an empty set).
     Empty table: no rows."""
-    base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"), F.xxhash64("text").alias("th"), "text")
-    schema = "id long, th long, n long, s1 long, s2 long, main boolean, level int, regs binary"
+    base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"), text_hash().alias("th"), "text")
+    schema = "id long, th binary, n long, s1 long, s2 long, main boolean, level int, regs binary"
     sk = cut_lineage(base.mapInArrow(_sketch(n_words, percent), schema), "sketches")
     main = sk.where("main").drop("regs", "main", "level")
-    # classes of equal sets, by a 128-bit digest of the set; the node is the text hash of the smallest member
-    classes = main.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("id").alias("id"), F.min_by("th", F.struct("id", "th")).alias("th"))
-    classes = cut_lineage(classes, "classes")
-    distinct = classes.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("th").alias("d")).first()
-    if distinct["n"] != distinct["d"]:
-        raise ValueError("two different texts share a 64-bit hash; salt xxhash64 and run again")
+    # classes of equal sets, by a 128-bit digest of the set; the smallest member stands for it. Nodes are numbers
+    # fixed by the written table, so no two classes share one
+    classes = main.where("n > 0").groupBy("n", "s1", "s2").agg(F.min(F.struct("id", "th")).alias("m"))
+    classes = cut_lineage(classes.select("n", "s1", "s2", "m.id", "m.th", F.monotonically_increasing_id().alias("node")), "classes")
     links = _links(base, sk, classes, n_words, percent)
     if links is None:
-        comp = classes.select("n", "s1", "s2", F.col("id").alias("component"), F.col("th").alias("group"))
+        comp = classes.select("n", "s1", "s2", F.col("id").alias("component"), F.col("node").alias("group"))
     else:
         found = connected_components(links)
-        c = classes.join(found.withColumnRenamed("node", "th"), "th", "left").withColumn("component", F.coalesce("component", "th"))
+        c = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
         low = c.groupBy("component").agg(F.min("id").alias("low"))
         comp = c.join(low, "component").select("n", "s1", "s2", F.col("low").alias("component"), F.col("component").alias("group"))
     comp = cut_lineage(comp, "components")
@@ -254,8 +257,9 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80) -> Dat
 def _links(base: DataFrame, sk: DataFrame, classes: DataFrame, n_words: int, percent: int) -> DataFrame | None:
     """Confirmed links (a, b) between classes that connect all classes that candidate links connect."""
     # the small sides below grow with the corpus, so they are merged at every size and never broadcast
-    reps = sk.join(classes.select("id", "th").hint("merge"), ["id", "th"], "left_semi").dropDuplicates(["id", "th", "level"])
-    reps = cut_lineage(reps.select("id", "th", "n", "level", "regs"), "reps")
+    named = classes.select("id", "th", "node")
+    reps = sk.join(named.hint("merge"), ["id", "th"]).dropDuplicates(["node", "level"])
+    reps = cut_lineage(reps.select(F.col("node").alias("th"), "n", "level", "regs"), "reps")  # th: the node from here on
     bands = reps.select("th", "level", "regs").mapInArrow(_bands, "key long, th long")
     shared = bands.groupBy("key").agg(F.min("th").alias("pivot"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
     members = cut_lineage(bands.join(shared.hint("merge"), "key"), "members")
@@ -263,8 +267,8 @@ def _links(base: DataFrame, sk: DataFrame, classes: DataFrame, n_words: int, per
     if pairs.isEmpty():
         return None
     # the texts of all candidates, one per class
-    ids = reps.join(members.select("th").distinct(), "th", "left_semi").select("id", "th").distinct()
-    texts = base.join(ids.hint("merge"), ["id", "th"], "left_semi").select("th", "text").mapInArrow(pack_texts, "th long, z binary")
+    ids = named.join(members.select(F.col("th").alias("node")).distinct(), "node", "left_semi")
+    texts = base.join(ids.hint("merge"), ["id", "th"]).select(F.col("node").alias("th"), "text").mapInArrow(pack_texts, "th long, z binary")
     texts = cut_lineage(texts.dropDuplicates(["th"]), "texts")
     regs = lambda x: reps.select(F.col("th").alias(x), F.col("n").alias(f"n{x}"), "level", F.col("regs").alias(f"r{x}"))
     both = pairs.hint("merge").join(regs("a"), "a").hint("merge").join(regs("b"), ["b", "level"])
@@ -294,7 +298,7 @@ def keep_one(docs: DataFrame, found: DataFrame) -> DataFrame:
     node = found.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("_i"), F.col("th").alias("_k"), "group")
     own = lambda c: F.when(F.col("group").isNull(), F.col(c))
     one = node.groupBy("group", own("_i").alias("i"), own("_k").alias("k")).agg(F.min(F.struct("_i", "_k")).alias("one")).select("one._i", "one._k")
-    keyed = docs.withColumns({"_i": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), "_k": F.xxhash64("text")})
+    keyed = docs.withColumns({"_i": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), "_k": text_hash()})
     # the join reuses the partitions and order of the first step
     alike = keyed.dropDuplicates(["_i", "_k"])
     return alike.join(one.hint("merge"), ["_i", "_k"], "left_semi").select(*docs.columns)
