@@ -24,7 +24,6 @@ from weekpanel.llm.hashing import NO_LETTER, U, mix, text_views, word_and_stem_h
 from weekpanel.session import cut_lineage
 
 MAX_LABELLED = 20_000  # the fit runs in one task over at most so many texts' features
-MAX_WEIGHTS = 200_000
 EPOCHS = 10
 ALPHA, BETA, L1, L2 = 3.0, 1.0, 5.0, 1.0
 STEMS = (4, 5, 6)  # bytes
@@ -112,8 +111,8 @@ def fit(docs: DataFrame, labelled: DataFrame, max_labelled: int = MAX_LABELLED,
 
     Null labels and ids are ignored; a doc_id labelled twice takes the larger
     label; no labelled rows give a model that scores 0. A labelled doc_id in several rows counts once for
-    each of its different texts; beyond ``max_labelled`` texts every doc_id keeps at least one. The weights are bounded
-    by ``MAX_WEIGHTS`` (the largest are kept)."""
+    each of its different texts; beyond ``max_labelled`` texts every doc_id keeps at least one. All weights that L1
+    leaves are kept: at most the features that ``min_docs`` texts of the sample share."""
     k = F.xxhash64("doc_id")
     sample = labelled.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
     sample = sample.orderBy(k, "doc_id").limit(max_labelled)
@@ -126,8 +125,7 @@ def fit(docs: DataFrame, labelled: DataFrame, max_labelled: int = MAX_LABELLED,
     rows = rows.orderBy("later", "k", "f").select("k", "label", "f").limit(max_labelled).coalesce(1).sortWithinPartitions("k", "f")
     fitted = rows.mapInArrow(_fit(min_docs, epochs), "feature long, weight double").toPandas()
     bias = fitted.weight[fitted.feature < 0]
-    w = fitted[fitted.feature >= 0]
-    w = w.loc[w.weight.abs().sort_values(ascending=False, kind="stable").index[:MAX_WEIGHTS]].sort_values("feature")
+    w = fitted[fitted.feature >= 0].sort_values("feature")
     return {"bias": float(bias.iloc[0]) if len(bias) else -math.inf, "features": w.feature.to_numpy(np.uint32), "weights": w.weight.to_numpy(float)}
 
 
@@ -136,7 +134,7 @@ def score_texts(docs: DataFrame, model: dict, threshold: float = THRESHOLD) -> D
 
     Null and empty texts score as texts without features: by the bias alone."""
     docs = docs.drop("score", "predicted")
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_WEIGHTS numbers
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # the weights of a sample of bounded size
     keep = docs.columns
 
     def run(batches):
