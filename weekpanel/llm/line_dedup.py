@@ -115,7 +115,8 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, m
     grouped by the bytes instead, so any function gives the same result."""
     base = docs.withColumns({"_ld_th": F.unhex(F.sha2(F.col("text").cast("binary"), 256))})
     lines, n_lines = F.split("text", "\n", -1), F.size(F.split("text", "\n", -1))
-    cut = F.explode(chunks_of(F.col("text"), window, divisor, long_words))
+    # every text has a chunk; a plain explode would also filter by the array, computing it three times
+    cut = F.explode_outer(chunks_of(F.col("text"), window, divisor, long_words))
     c = base.where("text is not null").select("doc_id", F.col("_ld_th").alias("th"), n_lines.alias("n_lines"), cut.alias("c"))
     n = F.col("c.last") - F.col("c.first") + 1
     c = c.where((n >= min_lines) | (_n_words(F.col("c.body")) >= long_words) if long_words else n >= min_lines)
@@ -130,7 +131,7 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, m
             d.alias("c"), F.array_join(F.slice(y, d["first"] + 1, d["last"] - d["first"] + 1), "\n").alias("body"))))
 
     texts = _with_texts(base, lists, "inner")
-    bodies = texts.select("doc_id", F.col("_ld_th").alias("th"), F.explode(with_bodies()).alias("x")).select("doc_id", "th", "x.c.*", "x.body")
+    bodies = texts.select("doc_id", F.col("_ld_th").alias("th"), F.explode_outer(with_bodies()).alias("x")).select("doc_id", "th", "x.c.*", "x.body")
     differ = bodies.groupBy("digest").agg(F.min("body").alias("low"), F.max("body").alias("high")).where("low != high").select("digest")
     differ = cut_lineage(differ, "differ")
     if not differ.isEmpty():
