@@ -271,3 +271,34 @@ def test_models_are_built_once_and_reused(spark, tmp_path, monkeypatch):
     build_or_reuse(fr, str(tmp_path), ["xgboost_plain", "xgboost"], small)
     build_or_reuse(fr.where("week_id > 9"), str(tmp_path), ["decision_tree"], small)
     assert fits == [["xgboost_plain"], ["decision_tree"]]
+
+
+def test_tree_shap_merges_rows_and_keeps_shapley_values(monkeypatch):
+    from itertools import permutations
+
+    from weekpanel.operators import treeshap as TS
+
+    # x0 <= 1 (else leaf 3): category of x1 in {0} (else x2 <= 0.5): then x0 <= 0
+    tree = TS.Tree(np.array([1, 3, -1, 5, 7, -1, -1, -1, -1]), np.array([2, 4, -1, 6, 8, -1, -1, -1, -1]), np.array([0, 1, -1, 0, 2, -1, -1, -1, -1]),
+                   np.array([1.0, 0, 0, 0.0, 0.5, 0, 0, 0, 0]), [None, np.array([0.0])] + [None] * 7, np.array([0, 0, 3.0, 0, 0, 1.0, -2.0, 5.0, 0.5]),
+                   np.array([100.0, 60, 40, 35, 25, 20, 15, 10, 15]), 0.5)
+    rng = np.random.default_rng(3)
+    x = np.column_stack((rng.normal(0.5, 1, 2000), rng.integers(0, 2, 2000), rng.random(2000), rng.random(2000)))
+    sizes, real = [], TS._patterns
+    monkeypatch.setattr(TS, "_patterns", lambda follows: sizes.append(len(follows)) or real(follows))
+    phi = TS.tree_phi(tree, x)
+    assert max(sizes) <= 16  # before: every row at every leaf
+
+    def mean(row, known, node=0):
+        if tree.left[node] < 0:
+            return tree.value[node]
+        if tree.feature[node] in known:
+            return mean(row, known, tree.left[node] if tree.goes_left(node, row[None])[0] else tree.right[node])
+        return sum(tree.cover[c] * mean(row, known, c) for c in (tree.left[node], tree.right[node])) / tree.cover[node]
+
+    for i in range(25):
+        want = np.zeros(4)
+        for order in permutations(range(4)):
+            for k, f in enumerate(order):
+                want[f] += (mean(x[i], order[: k + 1]) - mean(x[i], order[:k])) / 24
+        assert np.abs(phi[i] - 0.5 * want).max() < 1e-12
