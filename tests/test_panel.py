@@ -130,3 +130,25 @@ def test_ranks_and_quantiles(spark):
     assert [r.k for r in groups] == [k for k, part in enumerate(np.array_split(range(500), 7)) for _ in part]
     far = spark.createDataFrame([("u", i, v) for i, v in enumerate([5, 6, 7, 6, 5, 90, 6])], "unit_id string, week_id long, cases long")
     assert [(r.week_id, r.side) for r in eda.outlier_points(far).collect()] == [(5, "high")]
+
+
+def test_queries_write_only_the_panel_columns_they_read(spark, monkeypatch):
+    from weekpanel.plans import analysis_queries as AQ
+    from weekpanel.plans import catalog as CT
+    from weekpanel.plans import table_queries as TQ
+    from weekpanel.schema import RAW_CASES
+
+    rows = [("ASIA", "P", f"D{u}", "DENGUE GRAVE", str(1995 + i // 52), str(i % 52 + 1), f"00000{u}", "30", "A", "F", None, None, None, None)
+            for u in (1, 2) for i in range(0, 156, 1 + u)]
+    raw = spark.createDataFrame(rows, RAW_CASES)
+    written, real = [], CT.cut_lineage
+    monkeypatch.setattr(CT, "supplier_cases", lambda *_: raw)
+    monkeypatch.setattr(CT, "cut_lineage", lambda df, name="stage": written.append(df.columns) or real(df, name))
+    whole = CT.master(spark, "")
+    assert written.pop() == whole.columns
+    series = AQ.real_series(spark, "")
+    assert written.pop() == CT.SERIES_COLS and not written
+    got = CT.q_describe_cases(spark, "").where("column = 'cases'").first()
+    assert written.pop() == CT.DESCRIBE_COLS and not written
+    assert got["count"] == whole.count() == series.where("level = 'unit'").count()
+    assert TQ._frame(spark, "").count() == whole.where("target IS NOT NULL").count() and not written

@@ -9,9 +9,9 @@ from weekpanel.operators import metrics as ME
 from weekpanel.operators import profile as PR
 from weekpanel.operators.eda import real_only
 from weekpanel.plans.oracle import FEATURES
-from weekpanel.schema import MASTER_COLUMNS
+from weekpanel.schema import BASE_COLUMNS, MASTER_COLUMNS
 from weekpanel.session import cut_lineage
-from weekpanel.plans.catalog import ADAPTER, MASTER_SQL, master, register, round6
+from weekpanel.plans.catalog import ADAPTER, MASTER_SQL, SERIES_COLS, master, register, round6
 
 PROFILE_SQL = MASTER_SQL.rstrip() + """,
 real AS (SELECT * FROM master WHERE origin = 'real'),
@@ -38,10 +38,11 @@ lab AS (SELECT unit_id, CAST(ntile(3) OVER (ORDER BY mean_weekly, unit_id) - 1 A
 """
 
 PCOLS = PR.PROFILE_COLS
+PROFILE_READS = ["unit_id", "region", "district", "week", "week_id", "cases", "growth", "target", "origin"]
 
 
 def profile(spark, sf_dir):
-    return PR.unit_profile(real_only(master(spark, sf_dir)))
+    return PR.unit_profile(real_only(master(spark, sf_dir, columns=PROFILE_READS)))
 
 
 @register("unit_profile", PROFILE_SQL + "SELECT unit_id, region, district, "
@@ -52,7 +53,7 @@ def q_unit_profile(spark, sf_dir):
 
 @register("peak_week", PROFILE_SQL + "SELECT unit_id, peak_week FROM pw")
 def q_peak_week(spark, sf_dir):
-    return PR.peak_week(real_only(master(spark, sf_dir)))
+    return PR.peak_week(real_only(master(spark, sf_dir, columns=PROFILE_READS)))
 
 
 ZS = ", ".join(
@@ -380,7 +381,7 @@ from weekpanel.plans.catalog import SERIES_SQL  # noqa: E402
 
 
 def real_series(spark, sf_dir):
-    return cut_lineage(_eda.weekly_series(real_only(master(spark, sf_dir))), "series")
+    return cut_lineage(_eda.weekly_series(real_only(master(spark, sf_dir, columns=SERIES_COLS))), "series")
 
 
 def _ma_sql(windows) -> str:
@@ -542,7 +543,7 @@ sim AS (
 
 
 def _real(spark, sf_dir):
-    return master(spark, sf_dir)
+    return master(spark, sf_dir, columns=[*BASE_COLUMNS, "origin"])
 
 
 @register("target_calendar", EXT_SQL + "SELECT year, week, week_id, CAST(make_date(year, 1, 1) + CAST(7 * (week - 1) AS INTEGER) AS DATE) AS week_start FROM tcal")
@@ -620,7 +621,7 @@ SELECT nat.*, 'observed' AS segment FROM nat, cut WHERE week_start <= d
 UNION ALL SELECT nat.*, 'projected' FROM nat, cut WHERE week_start >= d""")
 def q_series_segments(spark, sf_dir):
     # the extended panel feeds two branches: materialise it once
-    ext = cut_lineage(XT.extend_panel(_real(spark, sf_dir), EXT), "extended_panel")
+    ext = cut_lineage(XT.extend_panel(_real(spark, sf_dir), EXT).select("year", *SERIES_COLS), "extended_panel")
     cut = F.broadcast(XT.extension_summary(ext).select("cut_date"))  # one row
     national = _eda.weekly_series(ext, ("national",))
     return XT.series_segments(national.crossJoin(cut))
