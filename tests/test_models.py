@@ -66,6 +66,18 @@ def test_newton_boosting_equals_a_plain_version(spark, monkeypatch):
         assert other.numbers() == model.numbers()
 
 
+def test_newton_workers_remember_the_margins_of_their_blocks(spark):
+    NW.fit_newton(table(spark, *labelled()), rounds=3, depth=2)
+
+    def remembered(_):
+        from weekpanel.operators import newton
+
+        return [trees for trees, _ in newton._MEMORY.known.values()]
+
+    seen = spark.sparkContext.parallelize(range(32), 32).flatMap(remembered).collect()
+    assert 3 in seen  # the last job's workers know the margins of all three trees
+
+
 def test_newton_model_scores_saves_and_explains(spark, tmp_path):
     from pyspark.ml.functions import array_to_vector
 
