@@ -152,3 +152,15 @@ def test_queries_write_only_the_panel_columns_they_read(spark, monkeypatch):
     assert written.pop() == CT.DESCRIBE_COLS and not written
     assert got["count"] == whole.count() == series.where("level = 'unit'").count()
     assert TQ._frame(spark, "").count() == whole.where("target IS NOT NULL").count() and not written
+
+
+def test_modal_geography_stacks_spellings_not_unit_weeks(spark):
+    from weekpanel.operators.panel import modal_geography
+
+    rows = [("a", " x", "p", None, 2), ("a", "X", "p", None, 1), ("a", "y", "q", None, 2), ("b", None, "r", "d", 1), (None, "z", "r", "e", 1)]
+    groups = spark.createDataFrame(rows, "unit_id string, region string, province string, district string, n long")
+    geo = modal_geography(groups, fold=True)
+    got = {r["unit_id"]: (r["region"], r["province"], r["district"]) for r in geo.collect()}
+    assert got == {"a": ("X", "P", None), "b": (None, "R", "D"), None: ("Z", "R", "E")}
+    below = geo._jdf.queryExecution().optimizedPlan().toString().split("Generate", 1)[1]
+    assert "Aggregate" in below  # summed up before the columns are stacked
