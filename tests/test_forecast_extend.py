@@ -31,6 +31,41 @@ def test_backtest_chooses_lower_rmse(spark):
         assert r.chosen == want
 
 
+def test_series_and_moving_average_take_one_pass(spark):
+    d0, half = datetime.date(2020, 1, 1), datetime.timedelta(days=7)
+    dates = [d0 + half * i for i in range(40)]
+    rows = [("a", "N", dates[i], i % 7) for i in range(0, 40, 3)] + [("b", "S", dates[i], i) for i in range(4, 36)]
+    rows += [("b", "S", dates[5], 100), (None, "N", dates[0], 3), (None, "N", dates[20], 4), ("c", None, dates[2], 9), ("c", None, dates[4], None), ("z", "S", None, 7)]
+    panel = spark.createDataFrame(rows, "unit_id string, region string, week_start date, cases long")
+    series = weekly_series(panel)
+    want, known = {}, sorted({r[2] for r in rows if r[2]})
+    for level, at in (("national", None), ("region", 1), ("unit", 0)):
+        for key in {"ALL" if at is None else r[at] for r in rows}:
+            own = [r for r in rows if r[2] and (at is None or r[at] == key)]
+            for d in known:
+                if own and min(r[2] for r in own) <= d <= max(r[2] for r in own):
+                    # dates without a key are there with 0
+                    want[level, key, d] = float(sum(r[3] or 0 for r in own if r[2] == d)) if key is not None else 0.0
+    got = series.collect()
+    assert len(got) == len(want) and {(r.level, r.series_key, r.week_start): r.cases for r in got} == want
+    plan = series._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+    table = spark.createDataFrame(got, series.schema)
+    preds = FC.ma_backtest(table, [8, 13, 26])
+    plan = preds._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ExistingRDD") == 1 and "Join" not in plan
+    expected = {}
+    for level, key in {(lv, k) for lv, k, _ in want if k is not None}:
+        y = [want[k] for k in sorted((k for k in want if k[:2] == (level, key)), key=lambda k: k[2])]
+        for v in (8, 13, 26):
+            if len(y) > v + 8 and max(y) > 0:
+                for t in range(len(y) - v, len(y)):
+                    expected[level, key, v, t] = (y[t], sum(y[-v - 4 : -v]) / 4)
+    rows = preds.collect()
+    assert len(rows) == len(expected) and {(r.level, r.series_key, r.eval_window, r.t): (r.actual, r.pred) for r in rows} == expected
+
+
 def _extended(spark, parts=8, master=None):
     spark.conf.set("spark.sql.shuffle.partitions", str(parts))
     m = master if master is not None else seasonal_master(spark)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from weekpanel.functions.scalar import hash_uniform
 from weekpanel.operators.ranks import exact_quantiles
 from weekpanel.schema import ORIGIN_REAL, ORIGIN_SIMULATED
+from weekpanel.session import cut_lineage
 
 
 def real_only(df: DataFrame) -> DataFrame:
@@ -27,25 +28,39 @@ def explore_filter(df: DataFrame, year_from: int, year_to: int, region: str | No
     return real_only(out) if real else out
 
 
+def _without_gaps(sums: DataFrame, dates: DataFrame) -> DataFrame:
+    """Every date of ``dates`` (d, i = place in date order; broadcast) from a series' first to its last, missing
+    ones as 0. A date is followed up to the next one of its series, so nothing is joined with the series."""
+    at = sums.join(F.broadcast(dates), F.col("week_start") == F.col("d")).select("level", "series_key", "i", "cases")
+    following = F.lead("i").over(Window.partitionBy("level", "series_key").orderBy("i"))
+    each = at.withColumn("_next", following).withColumn(
+        "j", F.explode(F.sequence(F.col("i"), F.coalesce(F.col("_next") - 1, F.col("i")))))
+    # rows without a key belong to no series' sum: their dates are there with 0
+    own = F.when((F.col("j") == F.col("i")) & F.col("series_key").isNotNull(), F.col("cases"))
+    each = each.select("level", "series_key", "j", F.coalesce(own, F.lit(0.0)).alias("cases"))
+    named = F.broadcast(dates.select(F.col("i").alias("j"), F.col("d").alias("week_start")))
+    return each.join(named, "j").select("level", "series_key", "week_start", "cases")
+
+
 def weekly_series(panel: DataFrame, levels: tuple[str, ...] = ("national", "region", "unit")) -> DataFrame:
     """Weekly case totals for every series of the requested levels at once:
     (level, series_key, week_start, cases). Each series runs on the calendar of
     distinct dates of the whole table between its own first and last date;
-    missing dates are 0. Aggregation happens before anything is keyed by
-    series, so the national series (one key) is a sum, not a hot group."""
+    missing dates are 0. Regions and weeks are summed up first (a small table, written once: it gives the
+    dates and the coarse levels), so the national series (one key) is a sum, not a hot group; the units' rows are
+    shuffled once, by unit."""
     key = {"national": F.lit("ALL"), "region": F.col("region"), "unit": F.col("unit_id")}
-    each = F.explode(F.array(*[F.struct(F.lit(lv).alias("level"), key[lv].alias("series_key")) for lv in levels]))
-    stacked = panel.select(each.alias("x"), "week_start", "cases").select("x.*", "week_start", "cases")
-    sums = stacked.groupBy("level", "series_key", "week_start").agg(F.sum("cases").cast("double").alias("cases"))
-    spans = sums.groupBy("level", "series_key").agg(F.min("week_start").alias("d0"), F.max("week_start").alias("d1"))
-    # distinct dates: <= 53 per year of a bounded year range -> broadcast
-    dates = F.broadcast(panel.select(F.col("week_start").alias("d")).distinct())
-    grid = spans.join(dates, (F.col("d") >= F.col("d0")) & (F.col("d") <= F.col("d1"))).select(
-        "level", "series_key", F.col("d").alias("week_start")
-    )
-    return grid.join(sums, ["level", "series_key", "week_start"], "left").select(
-        "level", "series_key", "week_start", F.coalesce("cases", F.lit(0.0)).alias("cases")
-    )
+    coarse = cut_lineage(panel.groupBy("region", "week_start").agg(F.sum("cases").alias("cases")), "region_weeks")
+    # distinct dates: <= 53 per year of a bounded year range -> broadcast, one partition numbers them
+    dates = coarse.select(F.col("week_start").alias("d")).where("d IS NOT NULL").distinct()
+    dates = dates.withColumn("i", F.row_number().over(Window.orderBy("d")))
+    out = None
+    for lv in levels:
+        rows = panel.select("unit_id", "week_start", "cases").repartition("unit_id") if lv == "unit" else coarse
+        sums = rows.groupBy(F.lit(lv).alias("level"), key[lv].alias("series_key"), "week_start").agg(F.sum("cases").cast("double").alias("cases"))
+        filled = _without_gaps(sums, dates)
+        out = filled if out is None else out.unionByName(filled)
+    return out
 
 
 def panel_kpis(panel: DataFrame) -> DataFrame:

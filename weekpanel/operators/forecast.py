@@ -21,41 +21,27 @@ from weekpanel.operators import smoothing
 SERIES = ["level", "series_key"]
 
 
-def with_positions(series: DataFrame) -> DataFrame:
-    """t = 0.. in date order and n = length, per series."""
-    w = Window.partitionBy(*SERIES).orderBy("week_start")
-    return series.withColumn("t", (F.row_number().over(w) - 1).cast("int")).withColumn(
-        "n", F.count(F.lit(1)).over(Window.partitionBy(*SERIES)).cast("int")
-    )
-
-
-def windows_table(spark, windows) -> DataFrame:
-    return spark.createDataFrame([(int(v),) for v in windows], "eval_window int")
-
-
-def eligible(pos: DataFrame, windows, ma_window: int = 4) -> DataFrame:
-    """(series, window) pairs with more than window + 2 * ma_window points
-    and not all zero."""
-    spark = pos.sparkSession
-    stats = pos.groupBy(*SERIES).agg(F.max("n").alias("n"), F.max("cases").alias("mx"))
-    return stats.crossJoin(F.broadcast(windows_table(spark, windows))).filter(
-        (F.col("n") > F.col("eval_window") + 2 * ma_window) & (F.col("mx") > 0)
-    ).select(*SERIES, "eval_window")
-
-
 def ma_backtest(series: DataFrame, windows=(13,), ma_window: int = 4) -> DataFrame:
     """Hold out the last ``window`` points; forecast them all with the mean of
     the last ``ma_window`` training points. Returns per-step predictions
-    (level, series_key, window, t, actual, pred)."""
-    pos = with_positions(series)
-    ok = eligible(pos, windows, ma_window)
-    j = pos.join(ok, SERIES)
-    cut = F.col("n") - F.col("eval_window")
-    ma = j.filter((F.col("t") >= cut - ma_window) & (F.col("t") < cut)).groupBy(*SERIES, "eval_window").agg(
-        F.avg("cases").alias("pred")
+    (level, series_key, window, t, actual, pred) of the (series, window) pairs
+    with more than window + 2 * ma_window points and not all zero.
+
+    One pass over the series: t = 0.. in date order, n = length and the largest count come from one shuffle, and
+    only the points that some window reads go on from there."""
+    windows = [int(v) for v in windows]
+    whole = Window.partitionBy(*SERIES)
+    pos = series.dropna(subset=SERIES).select(
+        *SERIES, F.col("cases").alias("actual"),
+        (F.row_number().over(whole.orderBy("week_start")) - 1).cast("int").alias("t"),
+        F.count(F.lit(1)).over(whole).cast("int").alias("n"), F.max("cases").over(whole).alias("mx"),
     )
-    test = j.filter(F.col("t") >= cut).select(*SERIES, "eval_window", "t", F.col("cases").alias("actual"))
-    return test.join(ma, [*SERIES, "eval_window"]).withColumn("model", F.lit("moving_average"))
+    tail = pos.filter((F.col("t") >= F.col("n") - (max(windows, default=0) + ma_window)) & (F.col("mx") > 0))
+    each = F.explode(F.array(*[F.lit(v) for v in windows]).cast("array<int>")).alias("eval_window")
+    cut = F.col("n") - F.col("eval_window")
+    j = tail.select("*", each).filter((cut > 2 * ma_window) & (F.col("t") >= cut - ma_window)).select("*", (F.col("t") >= cut).alias("held_out"))
+    pred = F.avg(F.when(~F.col("held_out"), F.col("actual"))).over(Window.partitionBy(*SERIES, "eval_window"))
+    return j.withColumn("pred", pred).filter("held_out").select(*SERIES, "eval_window", "t", "actual", "pred").withColumn("model", F.lit("moving_average"))
 
 
 def errors(preds: DataFrame) -> DataFrame:
