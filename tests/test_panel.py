@@ -164,3 +164,19 @@ def test_modal_geography_stacks_spellings_not_unit_weeks(spark):
     assert got == {"a": ("X", "P", None), "b": (None, "R", "D"), None: ("Z", "R", "E")}
     below = geo._jdf.queryExecution().optimizedPlan().toString().split("Generate", 1)[1]
     assert "Aggregate" in below  # summed up before the columns are stacked
+
+
+def test_panel_units_are_dealt_by_rows(spark, monkeypatch):
+    from weekpanel.params import Params
+    from weekpanel.plans import master as M
+    from weekpanel.schema import RAW_CASES
+
+    rows = [("ASIA", "P", f"D{u}", "DENGUE GRAVE", str(2001 + i // 52), str(i % 52 + 1), f"{u:06d}", "30", "A", "F", None, None, None, None)
+            for u in range(40) for i in range(0, 156, 5)]  # 152 weeks each (a year ends with its last observed week)
+    raw = spark.createDataFrame(rows, RAW_CASES)
+    whole = sorted(map(str, M.build_master(raw, Params()).collect()))
+    monkeypatch.setattr(M, "ROWS_PER_TASK", 100)
+    panel = M.build_master(raw, Params())
+    sizes = [r["n"] for r in panel.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert sum(sizes) == 40 * 152 == len(whole) and len(sizes) > 20 and max(sizes) <= 8 * 152
+    assert sorted(map(str, panel.collect())) == whole
