@@ -314,3 +314,27 @@ def test_tree_shap_merges_rows_and_keeps_shapley_values(monkeypatch):
             for k, f in enumerate(order):
                 want[f] += (mean(x[i], order[: k + 1]) - mean(x[i], order[:k])) / 24
         assert np.abs(phi[i] - 0.5 * want).max() < 1e-12
+
+
+def test_saved_and_loaded_model_are_scored_in_one_pass(spark, tmp_path):
+    from tests.fixtures import raw_cases
+    from weekpanel.operators import classify as CF
+    from weekpanel.params import Params
+    from weekpanel.plans.master import build_master
+    from weekpanel.sources import io
+
+    params = Params(min_history_weeks=10, tree_depth=3, tree_min_leaf=2)
+    frame = CF.modeling_frame(build_master(raw_cases(spark), params, columns=CF.FRAME_READS)).localCheckpoint()
+    assert CF.prepare(frame, params, ["decision_tree"])[1].columns == ["features", "y", "weight_balanced", "weight_pos"]
+    assert CF.prepare(frame, params, ["xgboost"])[1].columns == ["x", "y", "weight_balanced", "weight_pos"]
+    model = CF.fit(frame, "decision_tree", params)
+    io.save_model(model, str(tmp_path / "tree"))
+    other = CF.fit(frame, "decision_tree", params.replace(tree_depth=1))
+    for second, same in ((io.load_model(str(tmp_path / "tree")), True), (other, False)):
+        a = CF.score(model, frame, "a", keep=CF.FEATURES).withColumnRenamed("proba", "p")
+        both = CF.score(second, a, "b", keep=["p"])
+        assert "Join" not in both._jdf.queryExecution().optimizedPlan().toString()
+        alone = {(r.unit_id, r.week_id): r.proba for r in CF.score(second, frame, "b").collect()}
+        rows = both.collect()
+        assert len(rows) == frame.count() and all(alone[r.unit_id, r.week_id] == r.proba for r in rows)
+        assert all(r.p == r.proba for r in rows) == same

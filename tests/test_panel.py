@@ -180,3 +180,38 @@ def test_panel_units_are_dealt_by_rows(spark, monkeypatch):
     sizes = [r["n"] for r in panel.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
     assert sum(sizes) == 40 * 152 == len(whole) and len(sizes) > 20 and max(sizes) <= 8 * 152
     assert sorted(map(str, panel.collect())) == whole
+
+
+def test_named_columns_group_cases_by_what_they_need(spark, monkeypatch):
+    from weekpanel.operators.classify import FRAME_READS
+    from weekpanel.plans import master as M
+
+    whole, groups = _master(spark), []
+    monkeypatch.setattr(M, "case_groups", lambda cases, make=M.case_groups: groups.append(make(cases)) or groups[-1])
+    for columns, keys in ((FRAME_READS, ["region"]), (["unit_id", "week_id", "cases"], []), (["unit_id", "week_id", "district", "warn_share"], ["district", "disease"])):
+        part = build_master(raw_cases(spark), P, columns=columns)
+        assert part.columns == columns
+        assert groups[-1].columns[3:] == [*keys, "n"]
+        assert sorted(map(repr, part.collect())) == sorted(map(repr, whole.select(*columns).collect()))
+
+
+def test_trailing_columns_need_whole_windows(spark):
+    import statistics
+
+    from weekpanel.operators.features import add_features
+
+    cases = {"a": [3, 0, 7, 7, 1, 2, 9, 4, 4, 0, 11], "b": [5, None, 2, 2, 8, 1, 0, 6, 6, 6, 6, 3], "c": [1, 2]}
+    rows = [(u, i, 1 + i, n) for u, all_n in cases.items() for i, n in enumerate(all_n)]
+    panel = spark.createDataFrame(rows, "unit_id string, week_id long, week int, cases long")
+    feats = add_features(panel)
+    # the count and the mean of a window are not taken by sliding over it
+    assert feats._jdf.queryExecution().optimizedPlan().toString().count("stddev_samp(") == 1
+    assert "avg(" not in feats._jdf.queryExecution().optimizedPlan().toString()
+    for r in feats.collect():
+        for k, got in ((4, r.roll_mean_4), (8, r.roll_mean_8)):
+            before = cases[r.unit_id][max(0, r.week_id - k) : r.week_id]
+            want = sum(before) / k if len(before) == k and None not in before else None
+            assert got == want
+        before = cases[r.unit_id][max(0, r.week_id - 4) : r.week_id]
+        assert (r.roll_std_4 is None) == (len(before) < 4 or None in before)
+        assert r.roll_std_4 is None or abs(r.roll_std_4 - statistics.stdev(before)) < 1e-12
