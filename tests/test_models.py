@@ -352,3 +352,26 @@ def test_saved_and_loaded_model_are_scored_in_one_pass(spark, tmp_path):
         rows = both.collect()
         assert len(rows) == frame.count() and all(alone[r.unit_id, r.week_id] == r.proba for r in rows)
         assert all(r.p == r.proba for r in rows) == same
+
+
+def test_boosters_are_compared_at_full_rounds(spark, monkeypatch):
+    from weekpanel.operators import classify as CF
+    from weekpanel.plans import model_queries as MQ
+    from weekpanel.plans import table_queries as TQ
+    from weekpanel.schema import FEATURE_NUMERIC
+
+    rng = np.random.default_rng(7)
+    rows = [(f"u{i % 9}", i, "train", *[float(v) for v in rng.normal(size=len(FEATURE_NUMERIC)).round(2)], f"r{i % 4}") for i in range(300)]
+    rows = [(*r, int(r[3] + r[4] + rng.normal() > 1)) for r in rows]
+    fr = spark.createDataFrame(rows, "unit_id string, week_id long, split string, " + ", ".join(f"{c} double" for c in FEATURE_NUMERIC) + ", region string, y int")
+    params = MQ.ADAPTER.replace(boost_rounds=7)
+    monkeypatch.setattr(MQ, "ADAPTER", params)
+    monkeypatch.setattr(TQ, "ML", params)
+    monkeypatch.setattr(TQ, "_frame", lambda *_: fr)
+    first, second, real, fit = [], [], CF.estimator, CF.fit_newton
+    monkeypatch.setattr(CF, "estimator", lambda *a, **k: first.append(real(*a, **k)) or first[-1])
+    monkeypatch.setattr(CF, "fit_newton", lambda rows, rounds, *a, **k: second.append(rounds) or fit(rows, rounds, *a, **k))
+    got = MQ.q_newton_boost_valid(spark, "").first()
+    assert [(e.getMaxIter(), e.getMaxDepth()) for e in first] == [(7, params.newton_depth)] and second == [7]  # before: 3 rounds of each
+    assert (got.trees, got.rounds_without_gain, got.rows, got.positives) == (7, 0, 300, sum(r[-1] for r in rows))
+    assert got.loss_is_last and got.beats_no_model and got.differs_from_first_order
