@@ -375,3 +375,35 @@ def test_boosters_are_compared_at_full_rounds(spark, monkeypatch):
     assert [(e.getMaxIter(), e.getMaxDepth()) for e in first] == [(7, params.newton_depth)] and second == [7]  # before: 3 rounds of each
     assert (got.trees, got.rounds_without_gain, got.rows, got.positives) == (7, 0, 300, sum(r[-1] for r in rows))
     assert got.loss_is_last and got.beats_no_model and got.differs_from_first_order
+
+
+def test_tree_shap_walks_a_tree_once_for_a_shard(spark, tmp_path, monkeypatch):
+    from weekpanel.operators import classify as CF
+    from weekpanel.operators import treeshap as TS
+    from weekpanel.params import Params
+    from weekpanel.schema import FEATURE_NUMERIC
+
+    rng = np.random.default_rng(9)
+    rows = [(f"u{i % 9}", i, "train", *[float(v) for v in rng.normal(size=len(FEATURE_NUMERIC)).round(2)], f"r{i % 4}", int(rng.random() < 0.4)) for i in range(300)]
+    fr = spark.createDataFrame(rows, "unit_id string, week_id long, split string, " + ", ".join(f"{c} double" for c in FEATURE_NUMERIC) + ", region string, y int").localCheckpoint()
+    model = CF.fit(fr, "random_forest", Params(rf_trees=4, rf_depth=4, rf_min_leaf=5))
+    walked, real = spark.sparkContext.accumulator(0), TS.explain_rows
+
+    def counted(trees, x):
+        walked.add(len(trees))
+        return real(trees, x)
+
+    monkeypatch.setattr(TS, "explain_rows", counted)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 20)
+    try:
+        whole = CF.tree_shap_values(model, fr, str(tmp_path / "a")).collect()
+        assert walked.value == 4  # before: once for every batch of 20 rows
+        parted = CF.tree_shap_values(model, fr, str(tmp_path / "b"), rows_at_once=100).collect()
+        assert walked.value > 4 + 4
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = {(r.unit_id, r.week_id, r.feature): r.phi for r in whole}
+    assert len(want) == len(whole) == len(parted) and all(abs(want[r.unit_id, r.week_id, r.feature] - r.phi) < 1e-12 for r in parted)
+    margin = {r.week_id: r.proba for r in CF.score(model, fr, "m").collect()}
+    for i in range(300):
+        assert abs(sum(v for (_, week, _), v in want.items() if week in (i, None)) - margin[i]) < 1e-9
