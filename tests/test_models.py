@@ -368,6 +368,7 @@ def test_boosters_are_compared_at_full_rounds(spark, monkeypatch):
     monkeypatch.setattr(MQ, "ADAPTER", params)
     monkeypatch.setattr(TQ, "ML", params)
     monkeypatch.setattr(TQ, "_frame", lambda *_: fr)
+    TQ._models(spark, fr, ["decision_tree"])  # the folder of this frame's models is there already
     first, second, real, fit = [], [], CF.estimator, CF.fit_newton
     monkeypatch.setattr(CF, "estimator", lambda *a, **k: first.append(real(*a, **k)) or first[-1])
     monkeypatch.setattr(CF, "fit_newton", lambda rows, rounds, *a, **k: second.append(rounds) or fit(rows, rounds, *a, **k))
